@@ -36,12 +36,12 @@ def next_start(points: DataFrame, by: str, at: str, out: str, end: str) -> DataF
         .agg(F.min(at).alias("_first"))
         .select(by, "_day", F.lead("_first").over(over_days).alias("_next_day"))
     )
-    following = F.coalesce(F.col("_next"), F.col("_next_day"), F.lit(end).cast("timestamp"))
+    following = F.coalesce(F.col("_same_day"), F.col("_next_day"), F.lit(end).cast("timestamp"))
     return (
-        daily.withColumn("_next", F.lead(at).over(in_day))
+        daily.withColumn("_same_day", F.lead(at).over(in_day))
         .join(openings, [by, "_day"])
         .withColumn(out, following)
-        .drop("_day", "_next", "_next_day")
+        .drop("_day", "_same_day", "_next_day")
     )
 
 
@@ -60,28 +60,37 @@ class Buckets:
 
 
 def choose_buckets(intervals: DataFrame, by: str, start: str, end: str) -> Buckets:
-    """Read the shape of the interval table: two small jobs, a few rows collected."""
+    """Read the shape of the interval table in one job that returns one row per level."""
     second = F.unix_seconds(start)
-    edges = intervals.agg(
-        F.min(F.unix_seconds(end)).alias("low"),
-        F.max(second).alias("high"),
+    levels = [f"_w{w}" for w in WIDTHS]
+    spans = intervals.select(
+        F.col(by),
+        *[F.floor(second / w).alias(name) for w, name in zip(WIDTHS, levels)],
+        second.alias("_from"),
+        F.unix_seconds(end).alias("_to"),
+    )
+    groups = spans.rollup(by, *levels).agg(
+        F.grouping_id().alias("level"),
         F.count(F.lit(1)).alias("n"),
-        F.count_distinct(by).alias("keys"),
-    ).first()
-    if not edges["n"]:
+        F.min("_to").alias("low"),
+        F.max("_from").alias("high"),
+    )
+    merged = groups.groupBy("level").agg(
+        F.max("n").alias("fullest"),
+        F.count(F.lit(1)).alias("groups"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+    )
+    # grouping_id has one bit per rolled-up column: 15 = all, 7 = key, 3 = day, 1 = hour, 0 = minute.
+    shape = {r["level"]: r for r in merged.collect()}
+    if not shape[15]["fullest"]:
         return Buckets(WIDTHS[0], 0, 0, 0)
+    by_width = dict(zip(WIDTHS, (shape[3], shape[1], shape[0])))
+    width = next((w for w in WIDTHS if by_width[w]["fullest"] <= FULLEST_BUCKET), WIDTHS[-1])
 
-    levels = [F.floor(second / w).alias(f"_w{w}") for w in WIDTHS]
-    sizes = intervals.select(F.col(by), *levels).rollup(by, *[f"_w{w}" for w in WIDTHS])
-    counted = sizes.agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("level"))
-    fullest = {r["level"]: r["n"] for r in counted.groupBy("level").agg(F.max("n").alias("n")).collect()}
-    # grouping_id has one bit set per rolled-up column: 3 = day, 1 = hour, 0 = minute.
-    by_width = dict(zip(WIDTHS, (fullest[3], fullest[1], fullest[0])))
-    width = next((w for w in WIDTHS if by_width[w] <= FULLEST_BUCKET), WIDTHS[-1])
-
-    low = edges["low"] // width
-    high = max(low, edges["high"] // width)
-    return Buckets(width, low, high, edges["n"] + edges["keys"] * (high - low + 1))
+    low = shape[15]["low"] // width
+    high = max(low, shape[15]["high"] // width)
+    return Buckets(width, low, high, shape[15]["fullest"] + shape[7]["groups"] * (high - low + 1))
 
 
 def bucketed(intervals: DataFrame, start: str, end: str, buckets: Buckets) -> DataFrame:

@@ -182,3 +182,63 @@ def bulk_exchange_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("exchange_rates/rates.jsonl").alias("source_file"),
         *_loaded(),
     )
+
+
+AS_OF = "2024-01-15 12:00:00"
+
+
+def to_messages(events: DataFrame) -> DataFrame:
+    """Every event as one JSON message with its arrival time.
+
+    Purchases, views and clicks become transactions, errors cancellations and
+    signups rate updates. Property k plants the defects: 1 broken JSON, 2 a
+    missing or unreadable time, 3 an unreadable number, 4 a missing number, 5 an
+    unreadable publish time; purchases with k from 10 to 14 arrive twice.
+    """
+    k = "cast(get_json_object(props, '$.k') as int)"
+    sources = """CASE event_type WHEN 'error' THEN 'cancellation' WHEN 'signup' THEN 'exchange_rate'
+                 ELSE 'transaction' END"""
+    published = "date_format(ts - INTERVAL 5 SECONDS, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
+    number = "CASE k WHEN 3 THEN 'n/a' WHEN 4 THEN NULL ELSE cast({} as string) END"
+    known = events.withColumn("k", F.expr(k))
+    twice = (F.col("event_type") == "purchase") & F.col("k").between(10, 14)
+    arrivals = F.when(twice, F.array("ts", F.expr("ts + INTERVAL 30 MINUTES"))).otherwise(F.array("ts"))
+    body = known.withColumn("arrived_at", F.explode(arrivals)).select(
+        "arrived_at",
+        "k",
+        F.expr(sources).alias("_source"),
+        F.col("event_id").alias("transaction_id"),
+        F.expr("CASE k WHEN 2 THEN NULL ELSE unix_seconds(ts) END").alias("created_at"),
+        F.expr(number.format("CASE WHEN event_id % 41 = 0 THEN 0 - value ELSE value END")).alias("amount"),
+        F.expr("CASE event_id % 4 WHEN 1 THEN 'PUNK' WHEN 2 THEN 'RUB' ELSE 'TGRK' END").alias("currency"),
+        F.col("event_type").alias("transaction_type"),
+        F.expr("CASE WHEN event_id % 5 = 0 THEN 'failed' ELSE 'completed' END").alias("status"),
+        F.expr("CASE WHEN event_id % 23 = 0 THEN '  ' ELSE concat('u', user_id) END").alias("user_uuid"),
+        "user_id",
+        F.expr("CASE WHEN event_id % 6 = 0 THEN event_id % 35 END").alias("promo_code_id"),
+        F.expr(f"CASE k WHEN 5 THEN 'yesterday' ELSE {published} END").alias("published_at"),
+        F.col("event_id").alias("original_transaction_id"),
+        F.expr("CASE k WHEN 2 THEN 'bad date' ELSE date_format(ts, 'yyyy MMM dd HH:mm') END").alias("cancelled_at"),
+        F.expr(number.format("0 - value")).alias("refund_amount"),
+        F.expr("CASE event_id % 3 WHEN 0 THEN 'fraud' WHEN 1 THEN 'mistake' ELSE 'other' END").alias("reason"),
+        F.col("event_id").alias("update_id"),
+        F.expr("CASE k WHEN 2 THEN NULL ELSE unix_seconds(ts) END").alias("timestamp"),
+        F.expr("10 + value / 100").alias("rate_tgrk_punk"),
+        F.expr(number.format("50 + value / 10")).alias("rate_tgrk_rub"),
+    )
+    fields = [c for c in body.columns if c not in ("arrived_at", "k")]
+    text = F.to_json(F.struct(*fields))
+    return body.select(F.expr("CASE k WHEN 1 THEN '{\"_source\": \"transaction\", ' END").alias("broken"), text.alias("text"), "arrived_at").select(
+        F.coalesce("broken", "text").alias("value"), "arrived_at"
+    )
+
+
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return to_messages(table(spark, sf_dir, "events"))
+
+
+def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same messages as an unbounded source over the events file."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return to_messages(stream.withColumn("ts", F.col("ts").cast("timestamp")))
