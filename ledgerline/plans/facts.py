@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerline.functions.flags import convert, flag
 from ledgerline.functions.times import hours_crossed
@@ -116,6 +116,15 @@ def cancellations(staged: DataFrame, run_ts: datetime | None = None) -> DataFram
 MATCH_KEYS = ["_id", "_amount", "_day"]
 
 
+def _exact(amount: Column) -> Column:
+    """Absolute value as text, which is exact for a double.
+
+    Spark wraps double keys to normalise them, differently in a join and in an
+    aggregate, and would shuffle again between the two; text keys it does not.
+    """
+    return F.abs(amount).cast("string")
+
+
 def cancellation_matches(cancelled: DataFrame, fact: DataFrame, run_ts: datetime | None = None) -> DataFrame:
     """Match each cancellation to transactions of the previous day by id and |amount|.
 
@@ -131,7 +140,7 @@ def cancellation_matches(cancelled: DataFrame, fact: DataFrame, run_ts: datetime
         .withColumns(
             {
                 "_id": F.col("original_transaction_id"),
-                "_amount": F.abs("refund_amount"),
+                "_amount": _exact(F.col("refund_amount")),
                 "_day": F.date_add(F.to_date("cancelled_at"), -1),
             }
         )
@@ -140,7 +149,7 @@ def cancellation_matches(cancelled: DataFrame, fact: DataFrame, run_ts: datetime
     # Transaction id 0 stands for "none" and is no match target.
     targets = fact.where("transaction_id != 0").select(
         F.col("transaction_id").alias("_id"),
-        F.abs("amount").alias("_amount"),
+        _exact(F.col("amount")).alias("_amount"),
         F.to_date("created_at").alias("_day"),
         F.struct("transaction_nk", "created_at", "amount_tgrk", "currency", "is_test_user").alias("_pick"),
     )

@@ -62,10 +62,15 @@ def read_lines(spark: SparkSession, root: str, source_files: list[str]) -> DataF
 
 
 def parse_lines(lines: DataFrame, feed: Feed) -> DataFrame:
-    """Add ``r`` with the text fields and ``broken`` for lines that are not a JSON object."""
+    """Text fields as columns, and ``broken`` for lines that are not a JSON object.
+
+    The fields come out of a generator, so that each line is parsed once.
+    """
     schema = StructType([*feed.text_schema.fields]).add("_bad", StringType())
-    parsed = lines.withColumn("r", F.from_json("line", schema, {"columnNameOfCorruptRecord": "_bad"}))
-    return parsed.withColumn("broken", F.col("r._bad").isNotNull() | F.col("r").isNull())
+    record = F.from_json("line", schema, {"columnNameOfCorruptRecord": "_bad"})
+    return lines.select("source_file", "line", F.inline(F.array(record))).withColumn(
+        "broken", F.col("_bad").isNotNull()
+    )
 
 
 def typed(parsed: DataFrame, feed: Feed) -> DataFrame:
@@ -76,7 +81,7 @@ def typed(parsed: DataFrame, feed: Feed) -> DataFrame:
     """
     columns, misfits = [], F.lit(False)
     for name, kind in feed.fields.items():
-        text = F.col(f"r.{name}")
+        text = F.col(name)
         value = text if isinstance(kind, StringType) else text.try_cast(kind)
         misfits = misfits | (text.isNotNull() & value.isNull())
         if name in feed.defaults:

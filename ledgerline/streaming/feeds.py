@@ -19,15 +19,19 @@ SOURCE = "kafka"
 
 
 def parse_messages(messages: DataFrame, arrival: str | None = None) -> DataFrame:
-    """Parse ``value`` into text fields in column ``m`` and stamp the arrival time."""
+    """Parse ``value`` into text columns and stamp the arrival time.
+
+    The fields come out of a generator, so that each message is parsed once: a
+    filter on plain struct fields would be pushed below the parse and repeat it
+    per field.
+    """
     stamp = F.col(arrival) if arrival else F.current_timestamp()
-    return messages.select(
-        F.from_json(F.col("value").cast("string"), MESSAGE).alias("m"), to_millis(stamp).alias("loaded_at")
-    )
+    message = F.from_json(F.col("value").cast("string"), MESSAGE)
+    return messages.select(to_millis(stamp).alias("loaded_at"), F.inline(F.array(message)))
 
 
 def _field(name: str) -> Column:
-    return F.col(f"m.{name}")
+    return F.col(name)
 
 
 def _routed(parsed: DataFrame, source: str) -> DataFrame:

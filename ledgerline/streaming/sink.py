@@ -27,7 +27,8 @@ def write_feeds(parsed: DataFrame, batch_id: int, root: str) -> None:
     parsed.persist()
     try:
         for table, mapper in FEEDS.items():
-            mapper(parsed).write.mode("overwrite").parquet(f"{root}/{table}/batch_id={batch_id}")
+            rows = mapper(parsed).sortWithinPartitions(*STREAM_TABLES[table][1])
+            rows.write.mode("overwrite").parquet(f"{root}/{table}/batch_id={batch_id}")
     finally:
         parsed.unpersist()
 

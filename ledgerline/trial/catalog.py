@@ -281,19 +281,13 @@ def _live_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Minutes the watermark has closed: they end 60 minutes or more before the last arrival.
 _LIVE_SQL = """
-all_arrivals AS (
-    SELECT event_id, event_type, k, ts AS arrived FROM numbered
-    UNION ALL
-    SELECT event_id, event_type, k, ts + INTERVAL 30 MINUTE FROM numbered
-    WHERE event_type = 'purchase' AND k BETWEEN 10 AND 14
-),
-arrivals AS (
+arrived_rows AS (
     SELECT date_trunc('milliseconds', arrived) AS loaded_at,
            CASE event_type WHEN 'error' THEN 'cancellation' WHEN 'signup' THEN 'exchange_rate' ELSE 'transaction' END
                AS event_type,
            CASE WHEN event_type = 'signup' THEN CASE k WHEN 1 THEN 0 WHEN 2 THEN 0 WHEN 3 THEN 1 ELSE 2 END
                 WHEN k IN (1, 2, 3) THEN 0 ELSE 1 END AS rows_made
-    FROM all_arrivals
+    FROM arrivals
 )"""
 
 
@@ -554,9 +548,9 @@ def entries() -> dict[str, Entry]:
             plain_sql(
                 """(SELECT date_trunc('minute', loaded_at) AS event_minute, 'kafka' AS source, event_type,
                            sum(rows_made) AS event_count
-                    FROM arrivals WHERE rows_made > 0
+                    FROM arrived_rows WHERE rows_made > 0
                       AND date_trunc('minute', loaded_at) + INTERVAL 1 MINUTE
-                          <= (SELECT max(loaded_at) FROM arrivals WHERE rows_made > 0) - INTERVAL 60 MINUTE
+                          <= (SELECT max(loaded_at) FROM arrived_rows WHERE rows_made > 0) - INTERVAL 60 MINUTE
                     GROUP BY ALL)""",
                 _PER_MINUTE,
             ),
