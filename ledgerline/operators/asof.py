@@ -3,7 +3,7 @@
 With few keys (a handful of currencies) an equi join on the key alone would put
 a third of the rows in one task and scan every interval of the key per row.
 Both sides therefore get a time bucket as second equi key. Its width is the
-widest of day, hour and minute that keeps the fullest bucket small, so a row is
+widest from a day to a minute that keeps the fullest bucket small, so a row is
 compared with a bounded number of intervals. A bucketed table whose size is
 counted to be small is broadcast, and the left side does not move at all;
 beyond that both sides are shuffled on (key, bucket, salt), which splits a hot
@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerline.session import BROADCAST_ROWS
 
-WIDTHS = [86_400, 3_600, 60]
-FULLEST_BUCKET = 256
+WIDTHS = [86_400, 21_600, 3_600, 600, 60]
+FULLEST_BUCKET = 32
 
 
 def next_start(points: DataFrame, by: str, at: str, out: str, end: str) -> DataFrame:
@@ -63,17 +63,19 @@ def choose_buckets(intervals: DataFrame, by: str, start: str, end: str) -> Bucke
     """Read the shape of the interval table in one job that returns one row per level."""
     second = F.unix_seconds(start)
     levels = [f"_w{w}" for w in WIDTHS]
-    spans = intervals.select(
-        F.col(by),
-        *[F.floor(second / w).alias(name) for w, name in zip(WIDTHS, levels)],
-        second.alias("_from"),
-        F.unix_seconds(end).alias("_to"),
+    smallest = intervals.groupBy(F.col(by), F.floor(second / WIDTHS[-1]).alias(levels[-1])).agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.unix_seconds(end)).alias("low"), F.max(second).alias("high")
     )
-    groups = spans.rollup(by, *levels).agg(
-        F.grouping_id().alias("level"),
-        F.count(F.lit(1)).alias("n"),
-        F.min("_to").alias("low"),
-        F.max("_from").alias("high"),
+    wider = [F.floor(F.col(levels[-1]) * WIDTHS[-1] / w).alias(name) for w, name in zip(WIDTHS, levels)]
+    groups = (
+        smallest.select(F.col(by), *wider, "n", "low", "high")
+        .rollup(by, *levels)
+        .agg(
+            F.grouping_id().alias("level"),
+            F.sum("n").alias("n"),
+            F.min("low").alias("low"),
+            F.max("high").alias("high"),
+        )
     )
     merged = groups.groupBy("level").agg(
         F.max("n").alias("fullest"),
@@ -81,16 +83,17 @@ def choose_buckets(intervals: DataFrame, by: str, start: str, end: str) -> Bucke
         F.min("low").alias("low"),
         F.max("high").alias("high"),
     )
-    # grouping_id has one bit per rolled-up column: 15 = all, 7 = key, 3 = day, 1 = hour, 0 = minute.
+    # grouping_id has one bit per rolled-up column, the narrowest width lowest.
     shape = {r["level"]: r for r in merged.collect()}
-    if not shape[15]["fullest"]:
+    if not shape:
         return Buckets(WIDTHS[0], 0, 0, 0)
-    by_width = dict(zip(WIDTHS, (shape[3], shape[1], shape[0])))
-    width = next((w for w in WIDTHS if by_width[w]["fullest"] <= FULLEST_BUCKET), WIDTHS[-1])
+    whole, per_key = shape[2 ** (len(WIDTHS) + 1) - 1], shape[2 ** len(WIDTHS) - 1]
+    fullest = {w: shape[2 ** (len(WIDTHS) - 1 - i) - 1]["fullest"] for i, w in enumerate(WIDTHS)}
+    width = next((w for w in WIDTHS if fullest[w] <= FULLEST_BUCKET), WIDTHS[-1])
 
-    low = shape[15]["low"] // width
-    high = max(low, shape[15]["high"] // width)
-    return Buckets(width, low, high, shape[15]["fullest"] + shape[7]["groups"] * (high - low + 1))
+    low = whole["low"] // width
+    high = max(low, whole["high"] // width)
+    return Buckets(width, low, high, whole["fullest"] + per_key["groups"] * (high - low + 1))
 
 
 def bucketed(intervals: DataFrame, start: str, end: str, buckets: Buckets) -> DataFrame:

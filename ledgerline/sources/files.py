@@ -69,7 +69,7 @@ def parse_lines(lines: DataFrame, feed: Feed) -> DataFrame:
     schema = StructType([*feed.text_schema.fields]).add("_bad", StringType())
     record = F.from_json("line", schema, {"columnNameOfCorruptRecord": "_bad"})
     return lines.select("source_file", "line", F.inline(F.array(record))).withColumn(
-        "broken", F.col("_bad").isNotNull()
+        "broken", F.col("_bad").isNotNull() | ~F.col("line").rlike(r"^\s*\{")
     )
 
 
