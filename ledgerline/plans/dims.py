@@ -70,7 +70,7 @@ def exchange_rates(staged: DataFrame, run_ts: datetime | None = None) -> DataFra
         F.count(F.lit(1)).alias("_copies")
     )
     entry = F.struct("update_id", "rate")
-    starts = rated.groupBy("currency", "valid_from").agg(F.max(entry).alias("_winner"))
+    starts = staged.groupBy("currency", F.col("ts").alias("valid_from")).agg(F.max(entry).alias("_winner"))
     spans = next_start(starts, "currency", "valid_from", "_next", OPEN_END)
     holds = (F.col("_copy") == 1) & entry.eqNullSafe(F.col("_winner"))
     return (

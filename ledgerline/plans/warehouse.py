@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from ledgerline.plans import dims, facts, marts, staging
-from ledgerline.session import configure, settle
+from ledgerline.session import configure, settle, size_shuffles
 
 
 class Warehouse:
@@ -30,6 +30,7 @@ class Warehouse:
         keep=settle,
     ) -> None:
         configure(transactions.sparkSession)
+        size_shuffles(transactions)
         self.raw_transactions = transactions
         self.raw_cancellations = cancellations
         self.raw_exchange_rates = exchange_rates

@@ -10,6 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 # A side is broadcast on request only after its rows were counted against this.
 BROADCAST_ROWS = 500_000
 
+# Shuffle sizing: input bytes per partition, and the most partitions worth having.
+BYTES_PER_PARTITION = 64 * 1024 * 1024
+MOST_PARTITIONS = 32_768
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -52,6 +57,22 @@ def scratch_folder(spark: SparkSession) -> str:
     return _local_scratch[context.applicationId]
 
 
+def size_shuffles(df: DataFrame) -> int:
+    """Start shuffles with partitions in step with the files below ``df``.
+
+    Adaptive execution merges partitions that turn out small but cannot split a
+    shuffle that was planned too coarse, so the start follows the input size.
+    Settings above that are left alone.
+    """
+    spark = df.sparkSession
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = min(MOST_PARTITIONS, -(-size // BYTES_PER_PARTITION))
+    planned = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(spark.conf.get(_INITIAL, "1")))
+    if wanted > planned:
+        spark.conf.set(_INITIAL, str(wanted))
+    return max(wanted, planned)
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 

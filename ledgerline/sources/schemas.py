@@ -21,6 +21,10 @@ from pyspark.sql.types import (
 )
 
 
+# Fixed value: load tasks that run side by side.
+LOAD_TASKS = 20
+
+
 @dataclass(frozen=True)
 class Feed:
     """One family of JSON-lines files and the raw table it fills."""
@@ -32,7 +36,12 @@ class Feed:
     fields: dict[str, DataType]
     sort_key: list[str]
     nullable: list[str] = field(default_factory=list)
-    files_per_batch: int = 200
+    files_per_task: int = 200
+
+    @property
+    def files_per_batch(self) -> int:
+        """Files one Spark job loads: those of all load tasks together."""
+        return self.files_per_task * LOAD_TASKS
 
     @property
     def text_schema(self) -> StructType:
@@ -62,7 +71,7 @@ TRANSACTIONS = Feed(
     },
     nullable=["user_id", "promo_code_id"],
     sort_key=["transaction_id"],
-    files_per_batch=200,
+    files_per_task=200,
 )
 
 CANCELLATIONS = Feed(
@@ -78,7 +87,7 @@ CANCELLATIONS = Feed(
         "refund_amount": DoubleType(),
     },
     sort_key=["cancellation_id", "original_transaction_id"],
-    files_per_batch=50,
+    files_per_task=50,
 )
 
 EXCHANGE_RATES = Feed(
@@ -93,7 +102,7 @@ EXCHANGE_RATES = Feed(
         "rate_tgrk_rub": DoubleType(),
     },
     sort_key=["timestamp", "update_id"],
-    files_per_batch=50,
+    files_per_task=50,
 )
 
 USERS = Feed(

@@ -204,5 +204,5 @@ def test_feed_declarations():
         "raw_test_users",
         "raw_promo_codes",
     }
-    assert (TRANSACTIONS.files_per_batch, CANCELLATIONS.files_per_batch, EXCHANGE_RATES.files_per_batch) == (200, 50, 50)
+    assert (TRANSACTIONS.files_per_task, CANCELLATIONS.files_per_task, EXCHANGE_RATES.files_per_task) == (200, 50, 50)
     assert TEST_USERS.defaults == {"test_user_uuid": ""} and "promo_code_id" in PROMO_CODES.defaults
