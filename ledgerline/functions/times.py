@@ -41,10 +41,13 @@ def rate_time(text: Column) -> Column:
 
 
 def lenient_time(text: Column) -> Column:
-    """First format that parses, else 10-digit epoch seconds, else NULL."""
+    """First format that parses, else 10-digit epoch seconds, else NULL.
+
+    A failed parse is costly, so text without a digit is not tried at all.
+    """
     tries = [F.try_to_timestamp(text, F.lit(f)) for f in TIME_FORMATS]
     epoch = F.when(text.rlike(r"^\d{10}$"), F.timestamp_seconds(text.try_cast("bigint")))
-    return F.coalesce(*tries, epoch)
+    return F.when(text.rlike(r"\d"), F.coalesce(*tries, epoch))
 
 
 def lenient_date(text: Column) -> Column:

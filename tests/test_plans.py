@@ -6,7 +6,7 @@ from datetime import date, datetime
 
 import pytest
 
-from ledgerline.plans import dims, facts, marts, staging
+from ledgerline.plans import audit, dims, facts, marts, staging
 from ledgerline.plans.warehouse import Warehouse
 
 TX = (
@@ -279,3 +279,9 @@ def test_cancellation_key_and_dates(spark, rows):
         ("20240102#4", datetime(2024, 1, 2, 5)),
         ("20240102#5", None),
     ]
+
+
+def test_quarantine_reads_in_key_order(build):
+    w = build([tx(2), tx(2, at=DAY), tx(1), tx(1, slot="01-30"), tx(1, slot="01-30")])
+    got = [r.transaction_nk for r in audit.ordered_quarantine(w.dq_transactions_duplicate).collect()]
+    assert got == ["202401010100#2"] * 2 + ["202401010130#1"] * 2
