@@ -75,14 +75,15 @@ class Published:
 
 
 def warehouse_of(store: RawStore, run_ts: datetime | None = None, **options) -> Warehouse:
-    """The batch tables over the committed raw tables."""
+    """The batch tables over the committed raw tables, all as of the same commits."""
+    commits = store.commits()
     return Warehouse(
-        transactions=store.table(TRANSACTIONS),
-        cancellations=store.table(CANCELLATIONS),
-        exchange_rates=store.table(EXCHANGE_RATES),
-        users=store.table(USERS),
-        test_users=store.table(TEST_USERS),
-        promo_codes=store.table(PROMO_CODES),
+        transactions=store.table(TRANSACTIONS, commits),
+        cancellations=store.table(CANCELLATIONS, commits),
+        exchange_rates=store.table(EXCHANGE_RATES, commits),
+        users=store.table(USERS, commits),
+        test_users=store.table(TEST_USERS, commits),
+        promo_codes=store.table(PROMO_CODES, commits),
         run_ts=run_ts,
         **options,
     )

@@ -23,8 +23,9 @@ STAGING = [
 
 def register_raw(store: RawStore) -> list[str]:
     """Raw tables and the load log by name."""
+    commits = store.commits()
     for feed in FEEDS:
-        store.table(feed).createOrReplaceTempView(feed.table)
+        store.table(feed, commits).createOrReplaceTempView(feed.table)
     store.load_log().createOrReplaceTempView("load_log")
     return [feed.table for feed in FEEDS] + ["load_log"]
 

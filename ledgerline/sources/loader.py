@@ -19,7 +19,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
 
-from ledgerline.session import configure
+from ledgerline.session import configure, fits_broadcast, settle
 from ledgerline.sources.files import list_files, new_files, parse_lines, read_lines, typed
 from ledgerline.sources.schemas import FEEDS, LOAD_LOG, REJECTS, Feed, raw_schema
 
@@ -53,17 +53,22 @@ class RawStore:
     def load_log(self) -> DataFrame:
         return self._stored("load_log", LOAD_LOG)
 
-    def rejects(self) -> DataFrame:
-        return self._committed(self._stored("rejects", REJECTS))
+    def commits(self) -> DataFrame:
+        """Load ids the log holds a success for: one per load job, stored apart so that its size is known."""
+        return settle(self.load_log().where("status = 'success'").select("load_id").distinct(), "commits")
+
+    def _committed(self, rows: DataFrame, commits: DataFrame | None) -> DataFrame:
+        """Keep committed loads; with the ids broadcast, the rows are not shuffled for it."""
+        ids = self.commits() if commits is None else commits
+        return rows.join(F.broadcast(ids) if fits_broadcast(ids) else ids, "load_id", "left_semi").drop("load_id")
 
-    def _committed(self, rows: DataFrame) -> DataFrame:
-        ids = self.load_log().where("status = 'success'").select("load_id").distinct()
-        return rows.join(ids, "load_id", "left_semi").drop("load_id")
+    def rejects(self) -> DataFrame:
+        return self._committed(self._stored("rejects", REJECTS), None)
 
-    def table(self, feed: Feed) -> DataFrame:
-        """Committed rows of a raw table."""
+    def table(self, feed: Feed, commits: DataFrame | None = None) -> DataFrame:
+        """Committed rows of a raw table, as of ``commits`` when given."""
         schema = raw_schema(feed).add("load_id", StringType())
-        return self._committed(self._stored(f"raw/{feed.table}", schema))
+        return self._committed(self._stored(f"raw/{feed.table}", schema), commits)
 
     def pending(self, source_root: str, feed: Feed) -> DataFrame:
         return new_files(list_files(self.spark, source_root, feed), self.load_log())

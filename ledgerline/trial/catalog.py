@@ -487,7 +487,8 @@ def _incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         results = store.load_all(f"{root}/in", WRITTEN_FEEDS)
     again = {r.table: r.files for r in results}
-    counts = audit.row_counts({feed.table: store.table(feed) for feed in WRITTEN_FEEDS})
+    commits = store.commits()
+    counts = audit.row_counts({feed.table: store.table(feed, commits) for feed in WRITTEN_FEEDS})
     reloaded = F.create_map(*[F.lit(x) for pair in again.items() for x in pair])
     return counts.withColumn("files_second_run", reloaded[F.col("table_name")].cast("bigint"))
 

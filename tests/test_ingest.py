@@ -206,3 +206,13 @@ def test_feed_declarations():
     }
     assert (TRANSACTIONS.files_per_task, CANCELLATIONS.files_per_task, EXCHANGE_RATES.files_per_task) == (200, 50, 50)
     assert TEST_USERS.defaults == {"test_user_uuid": ""} and "promo_code_id" in PROMO_CODES.defaults
+
+
+def test_uncommitted_loads_are_left_out_without_a_shuffle(store, load, write_lines, tmp_path):
+    write_lines(slot(tmp_path, "01-00"), [tx(1)])
+    load(TRANSACTIONS)
+    store.table(TRANSACTIONS).write.parquet(f"{store.root}/raw/raw_transactions/load_id=crashed")
+    table = store.table(TRANSACTIONS)
+    assert table.count() == 1
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
