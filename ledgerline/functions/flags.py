@@ -29,10 +29,6 @@ def sum_if_or_zero(value: Column, condition: Column) -> Column:
     return F.coalesce(sum_if(value, condition), F.lit(0.0))
 
 
-def avg_if(value: Column, condition: Column) -> Column:
-    return F.avg(F.when(condition, value))
-
-
 def convert(amount: Column, rate: Column) -> Column:
     """Amount in the base currency; NULL when the rate is absent or 0."""
     return F.try_divide(amount, F.nullif(rate, F.lit(0.0)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, functions as F
 
 from ledgerline.functions.keys import DAY_PART, SLOT_PART, path_part
@@ -66,5 +68,10 @@ def published_time(text: Column) -> Column:
     return F.when(zoned, to_millis(F.try_to_timestamp(text)))
 
 
+def utc(moment: datetime) -> datetime:
+    """A time without a zone means UTC, whatever the zone of the driver's machine."""
+    return moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc)
+
+
 def to_millis(moment: Column) -> Column:
     return F.timestamp_millis(F.unix_millis(moment))

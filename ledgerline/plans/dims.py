@@ -8,14 +8,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerline.functions.flags import blank_to_null
 from ledgerline.functions.keys import surrogate_key
-from ledgerline.functions.times import OPEN_END
+from ledgerline.functions.times import OPEN_END, utc
 from ledgerline.operators.asof import next_start
 from ledgerline.operators.copies import restore_copies
 
 
 def lineage(run_ts: datetime | None = None, source: str = "S3") -> list[Column]:
     """Where a built row came from and when; one time for the whole run."""
-    moment = F.current_timestamp() if run_ts is None else F.lit(run_ts)
+    moment = F.current_timestamp() if run_ts is None else F.lit(utc(run_ts))
     return [F.lit(source).alias("source"), moment.cast("timestamp").alias("loaded_at")]
 
 

@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
+from ledgerline.functions.times import utc
 from ledgerline.operators.checks import require, run_checks
 from ledgerline.plans.warehouse import Warehouse
 from ledgerline.session import configure
@@ -63,7 +64,7 @@ class Published:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def publish(self, run_id: str, at: datetime) -> None:
-        row = self.spark.createDataFrame([(run_id, at)], PUBLISHED)
+        row = self.spark.createDataFrame([(run_id, utc(at))], PUBLISHED)
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/published")
 
     def current(self) -> str:

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerline.functions.flags import share, sum_if_or_zero
+from ledgerline.functions.times import utc
 from ledgerline.plans.marts import bought
 from ledgerline.streaming.feeds import SOURCE
 
@@ -15,7 +16,7 @@ WINDOW = "INTERVAL 60 MINUTES"
 
 
 def _times(as_of: datetime | None) -> tuple[Column, Column]:
-    moment = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
+    moment = F.current_timestamp() if as_of is None else F.lit(utc(as_of)).cast("timestamp")
     return moment, moment - F.expr(WINDOW)
 
 

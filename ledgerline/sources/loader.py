@@ -33,7 +33,7 @@ class LoadResult:
 
 
 def _now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
+    return datetime.now(timezone.utc).replace(microsecond=0)
 
 
 class RawStore:

@@ -184,9 +184,6 @@ def bulk_exchange_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-AS_OF = "2024-01-15 12:00:00"
-
-
 def to_messages(events: DataFrame) -> DataFrame:
     """Every event as one JSON message with its arrival time.
 
@@ -228,9 +225,8 @@ def to_messages(events: DataFrame) -> DataFrame:
     )
     fields = [c for c in body.columns if c not in ("arrived_at", "k")]
     text = F.to_json(F.struct(*fields))
-    return body.select(F.expr("CASE k WHEN 1 THEN '{\"_source\": \"transaction\", ' END").alias("broken"), text.alias("text"), "arrived_at").select(
-        F.coalesce("broken", "text").alias("value"), "arrived_at"
-    )
+    broken = F.lit('{"_source": "transaction", ')
+    return body.select(F.when(F.col("k") == 1, broken).otherwise(text).alias("value"), "arrived_at")
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -119,3 +119,10 @@ def test_blank_rules_differ(spark):
     frame = spark.createDataFrame([("",), ("  ",), ("u",), (None,)], "v string")
     got = frame.select(flags.blank_to_null(F.col("v")).alias("b"), fields.text_or_null(F.col("v")).alias("s")).collect()
     assert [tuple(r) for r in got] == [(None, None), ("  ", None), ("u", "u"), (None, None)]
+
+
+def test_a_time_without_zone_is_utc():
+    from datetime import timedelta, timezone
+
+    naive, east = datetime(2024, 1, 5, 7), datetime(2024, 1, 5, 10, tzinfo=timezone(timedelta(hours=3)))
+    assert times.utc(naive) == times.utc(east) and times.utc(naive).tzinfo is timezone.utc
