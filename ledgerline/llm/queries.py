@@ -6,11 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import langid, quality
+from ledgerline.llm import decontaminate, langid, packing, quality
 from ledgerline.llm.common import read_table, remainder
 from ledgerline.llm.topk import top_k
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = read_table(spark, sf_dir, "documents")
+    return packing.place(packing.tokenise(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Grades: one point for quality, one for not being toxic; kept are documents more likely than not to have both."""
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
@@ -26,13 +33,22 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document and benchmark item of which it holds a copy."""
+    found = decontaminate.matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    each = found.select("doc_id", F.explode("items").alias("item"))
+    return each.select("doc_id", "item.item_id", "item.distance", "item.end")
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_packing": op2_packing,
     "op3_quality": op3_quality,
     "op6_langid": op6_langid,
+    "op9_decontamination": op9_decontamination,
     "op10_topk": op10_topk,
 }
 
