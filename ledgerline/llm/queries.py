@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import decontaminate, langid, packing, quality
+from ledgerline.llm import decontaminate, jaccard, langid, packing, quality
 from ledgerline.llm.common import read_table, remainder
 from ledgerline.llm.topk import top_k
 
@@ -33,6 +33,10 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_components(read_table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each document and benchmark item of which it holds a copy."""
     found = decontaminate.matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -48,11 +52,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_quality": op3_quality,
     "op6_langid": op6_langid,
+    "op8_jaccard": op8_jaccard,
     "op9_decontamination": op9_decontamination,
     "op10_topk": op10_topk,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op8_jaccard": r"""
+        WITH RECURSIVE words AS (
+          SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+          FROM documents
+        ), sets AS (
+          SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                 ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+          FROM words
+        ), rows_ AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+        shared AS (
+          SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k, any_value(x.n) AS n, any_value(y.n) AS m
+          FROM rows_ x JOIN rows_ y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL
+        ), links AS (SELECT a, b FROM shared WHERE 100 * k >= 80 * (n + m - k)),
+        reach AS (
+          SELECT doc_id AS node, doc_id AS other FROM sets
+          UNION
+          SELECT r.node, l.b FROM reach r JOIN links l ON r.other = l.a
+        )
+        SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.other) AS component_id
+        FROM sets s JOIN reach r ON s.doc_id = r.node GROUP BY s.doc_id, s.s
+    """,
     "op10_topk": """
         WITH good AS (
           SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
