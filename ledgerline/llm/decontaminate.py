@@ -10,6 +10,7 @@ Texts are compared in lower case with runs of white space as one blank.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
@@ -122,36 +123,56 @@ def _stretches(starts: list[int], edits: int, size: int, end: int) -> list[tuple
     return out
 
 
+def _groups(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
+    """Normalised items in groups of bounded size, each brought to the driver by itself."""
+    sized = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text")
+    total = sized.agg(F.sum(F.length("text"))).first()[0] or 0
+    groups = -(-total // GROUP_CHARS) or 1
+    for group in range(groups):
+        part = sized.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)) == group)
+        items = sorted({(row.item_id, normal(row.text)) for row in part.collect()})
+        yield [(i, t) for i, t in items if t]
+
+
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc_id, items``: each document that holds a copy of an item, with (item_id, distance, end) of the closest.
+    """``doc_id, item_id, distance, end``: the closest copy of each item in each document that holds one.
 
     ``end`` counts characters of the normalised text. Items with a null id or without any character but blanks
-    take no part, nor do null texts; rows with equal ids are matched row by row. Items of fewer than
+    take no part, nor do null texts; documents are matched row by row, whatever their ids. Items of fewer than
     ``CHARS_PER_EDIT`` characters must occur unaltered. The items travel in groups of bounded size, one pass over
     the documents for each, so a benchmark of any size is matched whole.
     """
-    sized = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text")
-    total = sized.agg(F.sum(F.length("text"))).first()[0] or 0
-    groups = -(-total // GROUP_CHARS) or 1
     doc_type = docs.schema["doc_id"].dataType.simpleString()
-    found = None
-    for group in range(groups):
-        part = sized if groups == 1 else sized.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)) == group)
-        items = sorted({(row.item_id, normal(row.text)) for row in part.collect()})
-        own = _pass(docs, [(i, t) for i, t in items if t], doc_type)
-        found = own if found is None else found.unionByName(own)
-    return found if groups == 1 else found.groupBy("doc_id").agg(F.array_sort(F.flatten(F.collect_list("items"))).alias("items"))
 
+    def work(items: list[tuple[int, str]]):
+        def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            matcher = Matcher(items)
+            for batch in arrow_rows(batches, BATCH):
+                found = [(i, *x) for i, t in enumerate(batch.column("text").to_pylist()) for x in matcher.find(normal(t))]
+                if found:
+                    row, item, distance, end = zip(*found, strict=True)
+                    columns = [batch.column("doc_id").take(pa.array(row)), pa.array(item, pa.int64()), pa.array(distance, pa.int32()), pa.array(end, pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "distance", "end"])
 
-def _pass(docs: DataFrame, items: list[tuple[int, str]], doc_type: str) -> DataFrame:
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(items)
-        for batch in arrow_rows(batches, BATCH):
-            found = [(i, own) for i, t in enumerate(batch.column("text").to_pylist()) if (own := matcher.find(normal(t)))]
-            if found:
-                kind = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int32()), ("end", pa.int64())]))
-                values = [[dict(zip(("item_id", "distance", "end"), x, strict=True)) for x in own] for _, own in found]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array([i for i, _ in found])), pa.array(values, kind)], names=["doc_id", "items"])
+        return one
 
     given = docs.select("doc_id", "text").where("text IS NOT NULL")
-    return given.mapInArrow(work, f"doc_id {doc_type}, items array<struct<item_id:long,distance:int,end:long>>")
+    passes = [given.mapInArrow(work(items), f"doc_id {doc_type}, item_id long, distance int, end long") for items in _groups(benchmark)]
+    return functools.reduce(DataFrame.unionByName, passes)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns unchanged, that hold no copy of an item; null texts hold none."""
+
+    def work(items: list[tuple[int, str]]):
+        def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            matcher = Matcher(items)
+            for batch in arrow_rows(batches, BATCH):
+                texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+                yield batch.filter(pa.array([t is None or not matcher.find(normal(t)) for t in texts], pa.bool_()))
+
+        return one
+
+    for items in _groups(benchmark):
+        docs = docs.mapInArrow(work(items), docs.schema)
+    return docs

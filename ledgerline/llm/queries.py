@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import decontaminate, jaccard, langid, packing, quality
+from ledgerline.llm import decontaminate, jaccard, langid, lines, packing, quality
 from ledgerline.llm.common import read_table, remainder
 from ledgerline.llm.topk import top_k
 
@@ -33,15 +33,19 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its lines, those removed, and the text that stays."""
+    done = lines.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_components(read_table(spark, sf_dir, "documents"))
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each document and benchmark item of which it holds a copy."""
-    found = decontaminate.matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
-    each = found.select("doc_id", F.explode("items").alias("item"))
-    return each.select("doc_id", "item.item_id", "item.distance", "item.end")
+    return decontaminate.matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_quality": op3_quality,
     "op6_langid": op6_langid,
+    "op7_lines": op7_lines,
     "op8_jaccard": op8_jaccard,
     "op9_decontamination": op9_decontamination,
     "op10_topk": op10_topk,
