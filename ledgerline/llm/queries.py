@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import decontaminate, jaccard, langid, lines, packing, quality
+from ledgerline.llm import decontaminate, jaccard, langid, lines, packing, pii, quality
 from ledgerline.llm.common import read_table, remainder
 from ledgerline.llm.topk import top_k
 
@@ -26,6 +26,17 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graded.withColumn("keep", F.col("tail_probability") >= 0.5)
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detect(read_table(spark, sf_dir, "documents"))
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
+    digest = F.sha2(pii.as_text(F.col("base")), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, pii.as_text(F.col("spans")).alias("spans"))
+
+
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held_out = remainder(F.col("doc_id"), 4) == 2
@@ -55,6 +66,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_quality": op3_quality,
+    "op5_pii": op5_pii,
     "op6_langid": op6_langid,
     "op7_lines": op7_lines,
     "op8_jaccard": op8_jaccard,
