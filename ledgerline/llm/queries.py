@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import decontaminate, jaccard, langid, lines, packing, pii, quality
+from ledgerline.llm import decontaminate, jaccard, langid, lines, lm, packing, pii, quality
 from ledgerline.llm.common import read_table, remainder
 from ledgerline.llm.topk import top_k
 
@@ -26,6 +26,12 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graded.withColumn("keep", F.col("tail_probability") >= 0.5)
 
 
+def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 5) == 1
+    return lm.score(docs, lm.train(docs.where(~held_out)), held_out)
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.detect(read_table(spark, sf_dir, "documents"))
 
@@ -66,6 +72,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_quality": op3_quality,
+    "op4_lm": op4_lm,
     "op5_pii": op5_pii,
     "op6_langid": op6_langid,
     "op7_lines": op7_lines,
