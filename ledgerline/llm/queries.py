@@ -6,11 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import decontaminate, jaccard, langid, lines, lm, packing, pii, quality
+from ledgerline.llm import decontaminate, jaccard, langid, lines, lm, packing, pii, quality, suffix
 from ledgerline.llm.common import read_table, remainder
 from ledgerline.llm.topk import top_k
 
 
+def op1_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix.dedup(read_table(spark, sf_dir, "documents"))
+    length = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return done.select("doc_id", "n_bytes", length.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -70,6 +76,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix": op1_suffix,
     "op2_packing": op2_packing,
     "op3_quality": op3_quality,
     "op4_lm": op4_lm,
