@@ -19,15 +19,25 @@ def text_or_null(text: Column) -> Column:
     return F.when(~is_blank(text), text)
 
 
+# Fixed value: a decimal number in plain or scientific notation.
+NUMBER = r"^\s*[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def number(text: Column) -> Column:
+    """A number of any size as a double; NULL for other text, such as NaN."""
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+
+
 def whole_number(text: Column) -> Column:
-    """Fractions are cut off; blank or unreadable text is NULL."""
-    return text.try_cast("decimal(38,18)").try_cast("bigint")
+    """Fractions are cut off; blank or unreadable text, and what a long cannot hold, is NULL."""
+    exact = text.try_cast("decimal(38,18)").try_cast("bigint")
+    return F.coalesce(text.try_cast("bigint"), exact)
 
 
-def decimal_or_zero(text: Column) -> Column:
-    return F.when(is_blank(text), F.lit(0).cast("decimal(38,18)")).otherwise(text.try_cast("decimal(38,18)"))
+def number_or_zero(text: Column) -> Column:
+    return F.when(is_blank(text), F.lit(0.0)).otherwise(number(text))
 
 
 def unreadable(text: Column) -> Column:
     """A value is there but is not a number."""
-    return ~is_blank(text) & text.try_cast("decimal(38,18)").isNull()
+    return ~is_blank(text) & number(text).isNull()

@@ -53,7 +53,8 @@ def lenient_time(text: Column) -> Column:
 
 
 def lenient_date(text: Column) -> Column:
-    return F.try_to_date(text)
+    """A full date, else NULL: a year alone, or a date with something after it, is none."""
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(text))
 
 
 def hours_crossed(start: Column, end: Column) -> Column:

@@ -64,26 +64,33 @@ def exchange_rates(staged: DataFrame, run_ts: datetime | None = None) -> DataFra
     """Validity intervals per currency, the last one open.
 
     Of rates that start at the same time the greatest (update_id, rate) holds;
-    the others, and further copies of it, get an empty interval.
+    the others, and further copies of it, get an empty interval. A rate whose
+    time could not be read stays, without a start or an end, so that the checks
+    on the table see it.
     """
-    rated = staged.groupBy("currency", F.col("ts").alias("valid_from"), "update_id", "rate").agg(
+    dated = staged.where("ts IS NOT NULL")
+    lost = staged.where("ts IS NULL").select(
+        "update_id", "currency", F.col("ts").alias("valid_from"), F.col("ts").alias("valid_to"), "rate"
+    )
+    rated = dated.groupBy("currency", F.col("ts").alias("valid_from"), "update_id", "rate").agg(
         F.count(F.lit(1)).alias("_copies")
     )
     entry = F.struct("update_id", "rate")
-    starts = staged.groupBy("currency", F.col("ts").alias("valid_from")).agg(F.max(entry).alias("_winner"))
+    starts = dated.groupBy("currency", F.col("ts").alias("valid_from")).agg(F.max(entry).alias("_winner"))
     spans = next_start(starts, "currency", "valid_from", "_next", OPEN_END)
     holds = (F.col("_copy") == 1) & entry.eqNullSafe(F.col("_winner"))
-    return (
+    spanned = (
         restore_copies(rated.join(spans, ["currency", "valid_from"]), "_copies", "_copy")
         .withColumn("valid_to", F.when(holds, F.col("_next")).otherwise(F.col("valid_from")))
-        .select(
-            surrogate_key(F.col("currency"), F.col("valid_from")).alias("rate_key"),
-            "update_id",
-            "currency",
-            "valid_from",
-            "valid_to",
-            "rate",
-            (F.col("valid_to") == F.lit(OPEN_END).cast("timestamp")).cast("int").alias("is_current"),
-            *lineage(run_ts),
-        )
+        .select("update_id", "currency", "valid_from", "valid_to", "rate")
+    )
+    return spanned.unionByName(lost).select(
+        surrogate_key(F.col("currency"), F.col("valid_from")).alias("rate_key"),
+        "update_id",
+        "currency",
+        "valid_from",
+        "valid_to",
+        "rate",
+        F.coalesce(F.col("valid_to") == F.lit(OPEN_END).cast("timestamp"), F.lit(False)).cast("int").alias("is_current"),
+        *lineage(run_ts),
     )

@@ -11,7 +11,7 @@ from ledgerline.functions.times import hours_crossed
 from ledgerline.operators.asof import asof_left_join
 from ledgerline.operators.lookup import left_lookup
 from ledgerline.plans.dims import lineage
-from ledgerline.session import fits_broadcast, settle
+from ledgerline.session import bloom_joins, fits_broadcast, settle
 
 
 def transactions(
@@ -47,6 +47,7 @@ def transactions(
         end="valid_to",
         fields={"rate": "exchange_rate", "rate_key": "rate_key"},
         spread="transaction_nk",
+        times=flagged.select("currency", "created_at"),
         **asof_options,
     )
     used = F.col("promo_code_id").isNotNull()
@@ -114,6 +115,7 @@ def cancellations(staged: DataFrame, run_ts: datetime | None = None) -> DataFram
 
 
 MATCH_KEYS = ["_id", "_amount", "_day"]
+PICKED = ["transaction_nk", "created_at", "amount_tgrk", "currency", "is_test_user"]
 
 
 def _exact(amount: Column) -> Column:
@@ -125,6 +127,20 @@ def _exact(amount: Column) -> Column:
     return F.abs(amount).cast("string")
 
 
+def _candidates(targets: DataFrame) -> DataFrame:
+    """Per match key the number of transactions, and the only one where there is just one.
+
+    Counts and row hashes are plain longs, so they are aggregated by hash on both sides of the
+    shuffle; the rows themselves are only fetched for keys with a single candidate.
+    """
+    row = F.xxhash64("transaction_nk")
+    counted = targets.groupBy(*MATCH_KEYS).agg(F.count(F.lit(1)).alias("_n"), F.min(row).alias("_row"))
+    only = targets.select(*MATCH_KEYS, row.alias("_row"), F.struct(*PICKED).alias("_pick"))
+    single = counted.where("_n = 1").join(only, [*MATCH_KEYS, "_row"]).select(*MATCH_KEYS, "_n", "_pick")
+    several = counted.where("_n > 1").select(*MATCH_KEYS, "_n", F.lit(None).cast(single.schema["_pick"].dataType).alias("_pick"))
+    return single.unionByName(several)
+
+
 def cancellation_matches(cancelled: DataFrame, fact: DataFrame, run_ts: datetime | None = None) -> DataFrame:
     """Match each cancellation to transactions of the previous day by id and |amount|.
 
@@ -146,16 +162,24 @@ def cancellation_matches(cancelled: DataFrame, fact: DataFrame, run_ts: datetime
         )
     )
     keys = settle(asked.select(*MATCH_KEYS).where("_day IS NOT NULL").distinct(), "cancelled-keys")
-    # Transaction id 0 stands for "none" and is no match target.
-    targets = fact.where("transaction_id != 0").select(
+    days = keys.agg(F.min("_day").alias("first"), F.max("_day").alias("last")).first()
+    # Transaction id 0 stands for "none" and is no match target. Days without a cancellation are not read.
+    days_asked = F.col("created_at").between(
+        F.lit(days["first"]).cast("timestamp"), F.date_add(F.lit(days["last"]), 1).cast("timestamp")
+    )
+    targets = fact.where("transaction_id != 0").where(days_asked).select(
         F.col("transaction_id").alias("_id"),
         _exact(F.col("amount")).alias("_amount"),
         F.to_date("created_at").alias("_day"),
-        F.struct("transaction_nk", "created_at", "amount_tgrk", "currency", "is_test_user").alias("_pick"),
+        *PICKED,
     )
     if fits_broadcast(keys):
         targets = targets.join(F.broadcast(keys), MATCH_KEYS, "left_semi")
-    candidates = targets.groupBy(*MATCH_KEYS).agg(F.count(F.lit(1)).alias("_n"), F.min("_pick").alias("_pick"))
+        candidates = settle(_candidates(targets), "match-candidates")
+    else:
+        with bloom_joins(fact.sparkSession):
+            candidates = settle(_candidates(targets.join(keys, MATCH_KEYS, "left_semi")), "match-candidates")
+    # One cancellation key may stand for several rows; each row adds the candidates of its own match key.
     answered = (
         asked.join(candidates, MATCH_KEYS, "left")
         .groupBy("cancellation_nk")

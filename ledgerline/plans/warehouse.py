@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from ledgerline.plans import dims, facts, marts, staging
-from ledgerline.session import configure, settle, size_shuffles
+from ledgerline.session import configure, settle
 
 
 class Warehouse:
@@ -30,7 +30,6 @@ class Warehouse:
         keep=settle,
     ) -> None:
         configure(transactions.sparkSession)
-        size_shuffles(transactions)
         self.raw_transactions = transactions
         self.raw_cancellations = cancellations
         self.raw_exchange_rates = exchange_rates
@@ -92,17 +91,26 @@ class Warehouse:
 
     @cached_property
     def fact_cancellation_matches(self) -> DataFrame:
-        return facts.cancellation_matches(self.fact_cancellations, self.fact_transactions, self.run_ts)
+        return facts.cancellation_matches(self.fact_cancellations, self.stored_transactions, self.run_ts)
 
     @cached_property
     def dq_transactions_duplicate(self) -> DataFrame:
         return facts.quarantine(self.flagged, self.run_ts)
 
-    # Marts
+    # Marts: the fact and the matches are each built once for all of them
+
+    @cached_property
+    def stored_transactions(self) -> DataFrame:
+        return self.keep(self.fact_transactions, "fact_transactions")
+
+    @cached_property
+    def stored_matches(self) -> DataFrame:
+        built = facts.cancellation_matches(self.fact_cancellations, self.stored_transactions, self.run_ts)
+        return self.keep(built, "fact_cancellation_matches")
 
     @cached_property
     def activity(self) -> DataFrame:
-        return marts.hourly_activity(self.fact_transactions)
+        return marts.hourly_activity(self.stored_transactions)
 
     @cached_property
     def mart_transactions_hourly(self) -> DataFrame:
@@ -114,7 +122,7 @@ class Warehouse:
 
     @cached_property
     def mart_revenue_daily(self) -> DataFrame:
-        return marts.revenue_daily(self.activity, self.fact_cancellation_matches)
+        return marts.revenue_daily(self.activity, self.stored_matches)
 
     @cached_property
     def mart_promo_usage(self) -> DataFrame:
@@ -122,7 +130,7 @@ class Warehouse:
 
     @cached_property
     def mart_traffic_source_daily(self) -> DataFrame:
-        return marts.traffic_source_daily(self.activity, self.fact_cancellation_matches)
+        return marts.traffic_source_daily(self.activity, self.stored_matches)
 
     @cached_property
     def mart_currency_daily(self) -> DataFrame:
@@ -130,7 +138,7 @@ class Warehouse:
 
     @cached_property
     def mart_cancellations_daily(self) -> DataFrame:
-        return marts.cancellations_daily(self.activity, self.fact_cancellation_matches)
+        return marts.cancellations_daily(self.activity, self.stored_matches)
 
     @cached_property
     def mart_user_cohorts(self) -> DataFrame:
@@ -139,5 +147,5 @@ class Warehouse:
     @cached_property
     def mart_data_quality_daily(self) -> DataFrame:
         return marts.data_quality_daily(
-            self.flagged, self.dq_transactions_duplicate, self.activity, self.fact_cancellation_matches
+            self.flagged, self.dq_transactions_duplicate, self.activity, self.stored_matches
         )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 from ledgerline.sources.schemas import Feed
 
@@ -62,15 +62,20 @@ def read_lines(spark: SparkSession, root: str, source_files: list[str]) -> DataF
 
 
 def parse_lines(lines: DataFrame, feed: Feed) -> DataFrame:
-    """Text fields as columns, and ``broken`` for lines that are not a JSON object.
+    """Text fields as columns, and ``broken`` for lines that are not one JSON object.
 
-    The fields come out of a generator, so that each line is parsed once.
+    The line is parsed as the only member of a list, so that a second object or
+    other text after the first is an error, as are single quotes. The fields
+    come out of a generator, so that each line is parsed once.
     """
-    schema = StructType([*feed.text_schema.fields]).add("_bad", StringType())
-    record = F.from_json("line", schema, {"columnNameOfCorruptRecord": "_bad"})
-    return lines.select("source_file", "line", F.inline(F.array(record))).withColumn(
-        "broken", F.col("_bad").isNotNull() | ~F.col("line").rlike(r"^\s*\{")
-    )
+    fields = StructType([*feed.text_schema.fields]).add("_bad", StringType())
+    strict = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+    members = F.from_json(F.concat(F.lit("["), "line", F.lit("]")), ArrayType(fields), strict)
+    one = F.size(F.coalesce(members, F.array())) == 1
+    shaped = F.coalesce(one, F.lit(False)) & F.col("line").rlike(r"^\s*\{") & F.col("line").rlike(r"\}\s*$")
+    record = F.when(shaped, F.get(members, F.lit(0)))
+    parsed = lines.select("source_file", "line", F.inline(F.array(F.coalesce(record, F.from_json(F.lit("{}"), fields)))), shaped.alias("_shaped"))
+    return parsed.withColumn("broken", ~F.col("_shaped")).drop("_shaped")
 
 
 def typed(parsed: DataFrame, feed: Feed) -> DataFrame:

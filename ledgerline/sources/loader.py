@@ -7,14 +7,17 @@ take only load ids the log names. A crash in between leaves rows nobody reads,
 and the next run loads the files again under a new id.
 
 Two tiers of bad input: a line that is not JSON is put aside and its file still
-succeeds; a file with a value of the wrong type fails as a whole and stays out.
+succeeds; a file with a value of the wrong type, or one that cannot be read,
+fails as a whole and stays out, and costs no other file its load.
 """
 
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from threading import Lock
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
@@ -24,6 +27,10 @@ from ledgerline.sources.files import list_files, new_files, parse_lines, read_li
 from ledgerline.sources.schemas import FEEDS, LOAD_LOG, REJECTS, Feed, raw_schema
 
 
+# Batches of a feed that are loaded at a time.
+SIDE_BY_SIDE = 4
+
+
 @dataclass(frozen=True)
 class LoadResult:
     source_type: str
@@ -42,6 +49,7 @@ class RawStore:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = configure(spark)
         self.root = root.rstrip("/")
+        self._log_lock = Lock()
 
     def _stored(self, name: str, schema: StructType) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -73,48 +81,64 @@ class RawStore:
     def pending(self, source_root: str, feed: Feed) -> DataFrame:
         return new_files(list_files(self.spark, source_root, feed), self.load_log())
 
-    def load(self, source_root: str, feed: Feed, files_per_batch: int | None = None) -> LoadResult:
-        """Load the new files of one feed; with an error, log the batch as failed and raise."""
+    def load(
+        self, source_root: str, feed: Feed, files_per_batch: int | None = None, side_by_side: int = SIDE_BY_SIDE
+    ) -> LoadResult:
+        """Load the new files of one feed, several batches at a time.
+
+        A batch that fails is halved until the file that fails it stands alone;
+        that file is logged as failed, everything else is loaded, and the first
+        error is raised at the end.
+        """
         pending = self.pending(source_root, feed).persist()
         try:
             total = pending.count()
-            size = files_per_batch or feed.files_per_batch
-            batches = -(-total // size)
-            failed = 0
-            for number in range(batches):
+            batches = -(-total // (files_per_batch or feed.files_per_batch))
+
+            def one(number: int) -> tuple[int, list[Exception]]:
                 # A hash split keeps the batches even without ordering the listing.
                 part = pending.where(F.pmod(F.xxhash64("source_file"), F.lit(batches)) == number)
-                failed += self._load_batch(source_root, feed, part)
-            return LoadResult(feed.source_type, feed.table, total, failed)
+                # One batch of file names: bounded by the batch size, not by the data.
+                return self._load_batch(source_root, feed, part, sorted(r.source_file for r in part.select("source_file").collect()))
+
+            with ThreadPoolExecutor(side_by_side) as pool:
+                done = list(pool.map(one, range(batches)))
         finally:
             pending.unpersist()
+        errors = [e for _, found in done for e in found]
+        if errors:
+            raise errors[0]
+        return LoadResult(feed.source_type, feed.table, total, sum(failed for failed, _ in done))
 
     def load_all(self, source_root: str, feeds: list[Feed] | None = None, **options) -> list[LoadResult]:
         return [self.load(source_root, feed, **options) for feed in feeds or FEEDS]
 
-    def _load_batch(self, source_root: str, feed: Feed, part: DataFrame) -> int:
-        # One batch of file names: bounded by the batch size, not by the data.
-        names = [r.source_file for r in part.select("source_file").collect()]
+    def _load_batch(
+        self, source_root: str, feed: Feed, part: DataFrame, names: list[str]
+    ) -> tuple[int, list[Exception]]:
+        """How many files had mistyped rows, and the errors of files that could not be loaded at all."""
         if not names:
-            return 0
+            return 0, []
         load_id, started = uuid.uuid4().hex, _now()
+        files = part.where(F.col("source_file").isin(names))
         try:
             mistyped = self._write_rows(source_root, feed, names, load_id)
-            return self._write_log(feed, part, load_id, started, mistyped)
+            return self._write_log(feed, files, load_id, started, mistyped), []
         except Exception as error:
-            self._append_log(
-                part.select(
-                    F.lit(feed.source_type).alias("source_type"),
-                    "source_file",
-                    "file_size",
-                    F.lit(0).cast("bigint").alias("loaded_rows"),
-                    F.lit("failed").alias("status"),
-                    F.lit(str(error)[:1000]).alias("error_message"),
-                ),
-                started,
-                load_id,
+            if len(names) > 1:
+                halves = [names[: len(names) // 2], names[len(names) // 2 :]]
+                done = [self._load_batch(source_root, feed, part, half) for half in halves]
+                return sum(n for n, _ in done), [e for _, found in done for e in found]
+            entry = files.select(
+                F.lit(feed.source_type).alias("source_type"),
+                "source_file",
+                "file_size",
+                F.lit(0).cast("bigint").alias("loaded_rows"),
+                F.lit("failed").alias("status"),
+                F.lit(str(error)).alias("error_message"),
             )
-            raise
+            self._append_log(entry, started, load_id)
+            return 0, [error]
 
     def _raw_path(self, feed: Feed, load_id: str) -> str:
         return f"{self.root}/raw/{feed.table}/load_id={load_id}"
@@ -177,4 +201,5 @@ class RawStore:
             }
         )
         ordered = stamped.select(*LOAD_LOG.names).sortWithinPartitions("source_type", "source_file", "started_at")
-        ordered.write.mode("append").parquet(f"{self.root}/load_log")
+        with self._log_lock:  # two appends to one folder at a time would clear away each other's files
+            ordered.write.mode("append").parquet(f"{self.root}/load_log")

@@ -9,15 +9,23 @@ START_POSITIONS = {"earliest-offset": "earliest", "latest-offset": "latest"}
 
 
 def topic_options(
-    servers: str, topic: str, group: str, start: str = "latest-offset", per_trigger: int | None = None
+    servers: str,
+    topic: str,
+    group: str,
+    start: str = "latest-offset",
+    per_trigger: int | None = None,
+    fail_on_data_loss: bool = True,
 ) -> dict[str, str]:
-    """Options of the Kafka source; anything but earliest starts at the end."""
+    """Options of the Kafka source; anything but earliest starts at the end.
+
+    Offsets that are gone stop the query, unless a caller says that they may be skipped.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "kafka.group.id": group,
         "startingOffsets": START_POSITIONS.get(start.lower(), "latest"),
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if per_trigger:
         options["maxOffsetsPerTrigger"] = str(per_trigger)

@@ -65,7 +65,7 @@ def _transaction_ok() -> Column:
 
 def transactions(parsed: DataFrame) -> DataFrame:
     usable = _routed(parsed, "transaction").where(_transaction_ok())
-    amount = fields.decimal_or_zero(_field("amount"))
+    amount = fields.number_or_zero(_field("amount"))
     kind, status = fields.text_or_empty(_field("transaction_type")), fields.text_or_empty(_field("status"))
     user = fields.text_or_null(_field("user_uuid"))
     event_id = content_id(
@@ -120,7 +120,7 @@ def cancellations(parsed: DataFrame) -> DataFrame:
         fields.whole_number(_field("original_transaction_id")).alias("original_transaction_id"),
         fields.text_or_empty(_field("reason")).alias("reason"),
         _cancelled_at().alias("cancelled_at"),
-        fields.decimal_or_zero(refund).cast("double").alias("refund_amount"),
+        fields.number_or_zero(refund).cast("double").alias("refund_amount"),
         *_tail(),
     )
 
@@ -143,7 +143,7 @@ def exchange_rates(parsed: DataFrame) -> DataFrame:
             F.struct(
                 F.lit(currency).alias("currency"),
                 F.when(is_blank(_field(column)), "0").otherwise(_field(column)).alias("text"),
-                fields.decimal_or_zero(_field(column)).cast("double").alias("rate"),
+                fields.number_or_zero(_field(column)).cast("double").alias("rate"),
                 readable.alias("ok"),
             )
         )

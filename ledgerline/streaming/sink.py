@@ -1,17 +1,22 @@
 """Stream tables: one query writes all feeds, batch by batch, exactly once.
 
-Each micro-batch goes to its own folder ``<table>/batch_id=N``, overwritten when
-the batch is replayed after a failure. The rows of a batch arrived together, so
-the rolling views skip older files by their arrival-time statistics.
+Each micro-batch goes to its own folder ``<table>/batch_id=<query>-N``, overwritten
+when the batch is replayed after a failure; the query's id keeps the batches of
+another query apart. The rows of a batch arrived together, so the rolling views
+skip older files by their arrival-time statistics.
+
+A clear first only notes batches as cleared, which hides them from readers; their
+files go with the next clear, so that a reader that has begun can end.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerline.operators.latest import latest_per_key
 from ledgerline.plans.rolling import recent
@@ -20,19 +25,38 @@ from ledgerline.streaming.feeds import FEEDS, observed, parse_messages
 
 # The flush interval of the stream sink.
 FLUSH_INTERVAL = "2 seconds"
+ROWS_PER_FILE = 1_000_000
+CLEARED = StructType([StructField("batch_id", StringType())])
+
+
+def _batch_name(spark: SparkSession, batch_id: int) -> str:
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{query}-{batch_id}" if query else str(batch_id)
 
 
 def write_feeds(parsed: DataFrame, batch_id: int, root: str) -> None:
-    """Write one parsed micro-batch to the three tables; safe to repeat."""
+    """Write one parsed micro-batch to the three tables, in files of a fair size; safe to repeat."""
+    name = _batch_name(parsed.sparkSession, batch_id)
+    prepare(parsed.sparkSession, root)
     parsed.persist()
     try:
+        files = -(-parsed.count() // ROWS_PER_FILE) or 1
         for table, mapper in FEEDS.items():
-            rows = mapper(parsed).sortWithinPartitions(*STREAM_TABLES[table][1])
-            rows.write.mode("overwrite").parquet(f"{root}/{table}/batch_id={batch_id}")
+            rows = mapper(parsed).coalesce(files).sortWithinPartitions(*STREAM_TABLES[table][1])
+            rows.write.mode("overwrite").parquet(f"{root}/{table}/batch_id={name}")
     finally:
         parsed.unpersist()
 
 
+def prepare(spark: SparkSession, root: str) -> None:
+    """Empty files that give each table and its list of cleared batches a schema from the start."""
+    for table, (schema, _) in STREAM_TABLES.items():
+        for path, kind in ((f"{root}/{table}/batch_id=none", schema), (f"{root}/cleared/{table}/none", CLEARED)):
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+                spark.createDataFrame([], kind).coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def start_feeds(
     messages: DataFrame,
     root: str,
@@ -53,12 +77,14 @@ def start_feeds(
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """Every stored row of a stream table; empty when nothing was written yet."""
+    """Every stored row of a stream table that is not cleared; empty when nothing was written yet."""
     schema, _ = STREAM_TABLES[table]
-    stored = StructType([*schema.fields]).add("batch_id", LongType())
+    stored = StructType([*schema.fields]).add("batch_id", StringType())
     if not _folder(spark, f"{root}/{table}")[1]:
         return spark.createDataFrame([], stored)
-    return spark.read.schema(stored).parquet(f"{root}/{table}")
+    rows = spark.read.schema(stored).parquet(f"{root}/{table}")
+    gone = _cleared(spark, root, table)
+    return rows.where(~F.col("batch_id").isin(gone)) if gone else rows
 
 
 def latest(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -87,30 +113,53 @@ def _folder(spark: SparkSession, path: str):
     fs = where.getFileSystem(conf)
     if not fs.exists(where):
         return fs, []
-    return fs, [s.getPath() for s in fs.listStatus(where) if s.getPath().getName().startswith("batch_id=")]
+    found = [s.getPath() for s in fs.listStatus(where) if s.getPath().getName().startswith("batch_id=")]
+    return fs, [p for p in found if p.getName() != "batch_id=none"]
 
 
-def high_water(spark: SparkSession, root: str) -> int:
-    """Greatest batch stored so far, -1 for none."""
-    ids = [
-        int(p.getName().split("=")[1])
-        for table in STREAM_TABLES
-        for p in _folder(spark, f"{root}/{table}")[1]
-    ]
-    return max(ids, default=-1)
+def _cleared(spark: SparkSession, root: str, table: str) -> list[str]:
+    """Batches noted as cleared whose files are still there: those of one clear."""
+    path = f"{root}/cleared/{table}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return []
+    notes = spark.read.schema(CLEARED).option("recursiveFileLookup", "true").parquet(path)
+    return sorted(r.batch_id for r in notes.distinct().collect())
 
 
-def clear_tables(spark: SparkSession, root: str, through: int | None = None) -> int:
-    """Drop the stored batches of all stream tables, up to ``through`` when given.
+def live_batches(spark: SparkSession, root: str, table: str) -> list[str]:
+    gone = set(_cleared(spark, root, table))
+    names = [p.getName().split("=", 1)[1] for p in _folder(spark, f"{root}/{table}")[1]]
+    return sorted(n for n in names if n not in gone)
 
-    Whole batch folders go, so a batch the stream is writing right now, which
-    is above the high-water mark taken before the rebuild, is not touched.
+
+def high_water(spark: SparkSession, root: str) -> frozenset[str] | int:
+    """The batches stored so far, -1 for none: what a later clear may take."""
+    return frozenset(n for table in STREAM_TABLES for n in live_batches(spark, root, table)) or -1
+
+
+def clear_tables(spark: SparkSession, root: str, through: frozenset[str] | int | None = None) -> int:
+    """Hide the stored batches of all stream tables, those of the mark ``through`` when given.
+
+    A batch that the stream is writing right now is not in a mark taken before
+    the rebuild, so it is not touched. Files of batches hidden by the clear
+    before this one are deleted.
     """
-    dropped = 0
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    prepare(spark, root)
+    hidden = 0
     for table in STREAM_TABLES:
-        fs, folders = _folder(spark, f"{root}/{table}")
-        for folder in folders:
-            if through is None or int(folder.getName().split("=")[1]) <= through:
-                fs.delete(folder, True)
-                dropped += 1
-    return dropped
+        names = [n for n in live_batches(spark, root, table) if through is None or (through != -1 and n in through)]
+        before = _cleared(spark, root, table)
+        notes = jvm.org.apache.hadoop.fs.Path(f"{root}/cleared/{table}")
+        fs = notes.getFileSystem(conf)
+        old = [s.getPath() for s in fs.listStatus(notes) if s.getPath().getName() != "none"]
+        if names:
+            note = spark.createDataFrame([(n,) for n in names], CLEARED).coalesce(1)
+            note.write.parquet(f"{root}/cleared/{table}/{uuid.uuid4().hex}")
+        for name in before:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/{table}/batch_id={name}"), True)
+        for path in old:
+            fs.delete(path, True)
+        hidden += len(names)
+    return hidden
