@@ -65,8 +65,8 @@ def exchange_rates(staged: DataFrame, run_ts: datetime | None = None) -> DataFra
 
     Of rates that start at the same time the greatest (update_id, rate) holds;
     the others, and further copies of it, get an empty interval. A rate whose
-    time could not be read stays, without a start or an end, so that the checks
-    on the table see it.
+    time could not be read stays, without a key, a start or an end, so that the
+    checks on the table see it.
     """
     dated = staged.where("ts IS NOT NULL")
     lost = staged.where("ts IS NULL").select(
@@ -85,7 +85,7 @@ def exchange_rates(staged: DataFrame, run_ts: datetime | None = None) -> DataFra
         .select("update_id", "currency", "valid_from", "valid_to", "rate")
     )
     return spanned.unionByName(lost).select(
-        surrogate_key(F.col("currency"), F.col("valid_from")).alias("rate_key"),
+        F.when(F.col("valid_from").isNotNull(), surrogate_key(F.col("currency"), F.col("valid_from"))).alias("rate_key"),
         "update_id",
         "currency",
         "valid_from",

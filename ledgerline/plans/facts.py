@@ -11,7 +11,7 @@ from ledgerline.functions.times import hours_crossed
 from ledgerline.operators.asof import asof_left_join
 from ledgerline.operators.lookup import left_lookup
 from ledgerline.plans.dims import lineage
-from ledgerline.session import bloom_joins, fits_broadcast, settle
+from ledgerline.session import bloom_joins, fits_broadcast, selective, settle
 
 
 def transactions(
@@ -178,7 +178,7 @@ def cancellation_matches(cancelled: DataFrame, fact: DataFrame, run_ts: datetime
         candidates = settle(_candidates(targets), "match-candidates")
     else:
         with bloom_joins(fact.sparkSession):
-            candidates = settle(_candidates(targets.join(keys, MATCH_KEYS, "left_semi")), "match-candidates")
+            candidates = settle(_candidates(targets.join(selective(keys, "_id"), MATCH_KEYS, "left_semi")), "match-candidates")
     # One cancellation key may stand for several rows; each row adds the candidates of its own match key.
     answered = (
         asked.join(candidates, MATCH_KEYS, "left")

@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # A side is broadcast on request only after its rows and its stored bytes were held against these.
 BROADCAST_ROWS = 500_000
@@ -138,10 +138,18 @@ def sized_shuffles(df: DataFrame) -> Iterator[int]:
 
 
 def bloom_joins(spark: SparkSession):
-    """Let Spark filter the large side of a join by a Bloom filter of the other's keys, whatever its size."""
+    """Let Spark filter the large side of a join by a Bloom filter of the other's keys, whatever its size.
+
+    It does so for joins that run inside and whose other side is a stored table, marked by ``selective``.
+    """
     return with_settings(spark, _BLOOM)
 
 
+def selective(stored: DataFrame, key: str) -> DataFrame:
+    """The rows with a (long) key: a condition that tells Spark that joining with them leaves rows out."""
+    return stored.where(F.col(key) >= F.lit(-(2**63)))
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 

@@ -13,12 +13,14 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerline.functions.times import lenient_time
 from ledgerline.operators.asof import asof_left_join
 from ledgerline.operators.checks import CORE_CHECKS, run_checks
 from ledgerline.operators.collisions import distinct_per
 from ledgerline.operators.latest import latest_per_key
 from ledgerline.plans import audit, dims, facts, marts, rolling, staging
 from ledgerline.plans.rebuild import CORE, MARTS, Published, rebuild
+from ledgerline.plans.views import register_stream
 from ledgerline.plans.warehouse import Warehouse
 from ledgerline.session import configure, scratch_folder, settle
 from ledgerline.sources.loader import RawStore
@@ -236,10 +238,14 @@ def recent_feed_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]
     }
 
 
-def run_stream(spark: SparkSession, sf_dir: str) -> str:
+def stream_root(spark: SparkSession) -> str:
+    return f"{scratch_folder(spark)}/streams/{uuid.uuid4().hex}"
+
+
+def run_stream(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
     """Run the streaming query over the events file to its end; return the table folder."""
     configure(spark)
-    root = f"{scratch_folder(spark)}/streams/{uuid.uuid4().hex}"
+    root = root or stream_root(spark)
     query = sink.start_feeds(
         projection.message_stream(spark, sf_dir), f"{root}/tables", f"{root}/checkpoint", "arrived_at", once=True
     )
@@ -268,6 +274,23 @@ def _rt_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PER_MINUTE = COLUMNS["mart_rt_events_per_minute"]
 
 
+def _registered_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SQL view, registered before the first batch and read after the last."""
+    configure(spark)
+    root = stream_root(spark)
+    register_stream(spark, f"{root}/tables", AS_OF)
+    run_stream(spark, sf_dir, root)
+    return plain(spark.sql("SELECT * FROM mart_rt_events_per_minute"), _PER_MINUTE)
+
+
+def _registered_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    root = stream_root(spark)
+    register_stream(spark, f"{root}/tables", AS_OF)
+    run_stream(spark, sf_dir, root)
+    return plain(spark.sql("SELECT * FROM mart_rt_data_quality_last_60m"), COLUMNS["mart_rt_data_quality_last_60m"])
+
+
 def _live_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The windowed streaming count over all messages, run to the end of the source."""
     configure(spark)
@@ -296,10 +319,18 @@ arrived_rows AS (
 # Bulk
 
 
-def _bulk_asof(spark: SparkSession, sf_dir: str, **options: int) -> DataFrame:
+# Orders whose rate update gets a time far from all others.
+_STRAY = "CASE o_orderkey % 5000 WHEN 1 THEN '1' WHEN 2 THEN '2' WHEN 3 THEN '3786912000' END"
+
+
+def _bulk_asof(spark: SparkSession, sf_dir: str, stray: bool = False, **options: int) -> DataFrame:
     """Every line item converted at the rate of its time; revenue per currency and ship month."""
     configure(spark)
-    rates = settle(dims.exchange_rates(staging.exchange_rates(projection.bulk_exchange_rates(spark, sf_dir))), "rates")
+    raw_rates = projection.bulk_exchange_rates(spark, sf_dir)
+    if stray:
+        moved = F.expr(_STRAY.replace("o_orderkey", "update_id"))
+        raw_rates = raw_rates.withColumn("timestamp", F.coalesce(moved, "timestamp"))
+    rates = settle(dims.exchange_rates(staging.exchange_rates(raw_rates)), "rates")
     paid = staging.keyed_transactions(projection.bulk_transactions(spark, sf_dir))
     rated = asof_left_join(
         paid, rates, "currency", "created_at", "valid_from", "valid_to", {"rate": "rate"}, "transaction_nk", **options
@@ -316,11 +347,17 @@ def _bulk_asof(spark: SparkSession, sf_dir: str, **options: int) -> DataFrame:
 _BULK_ASOF_SQL = oracle.bulk(
     """SELECT p.currency, strftime(p.created_at, '%Y-%m') AS month, count(*) AS payments, count(r.rate) AS rated,
        round(sum(r.rate), 7) AS rate_sum, round(sum(p.amount / nullif(r.rate, 0)), 2) AS amount_tgrk
-FROM prepared p ASOF LEFT JOIN bulk_points r ON p.currency = r.currency AND p.created_at >= r.valid_from
+FROM payments p ASOF LEFT JOIN bulk_points r ON p.currency = r.currency AND p.created_at >= r.valid_from
 GROUP BY ALL"""
 )
 
 
+_STRAY_ASOF_SQL = _BULK_ASOF_SQL.replace(
+    "CAST(o_orderdate AS TIMESTAMP)",
+    f"coalesce(make_timestamp(CAST({_STRAY} AS BIGINT) * 1000000), CAST(o_orderdate AS TIMESTAMP))",
+)
+
+
 def _bulk_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     flagged = staging.flagged_transactions(projection.bulk_transactions(spark, sf_dir))
@@ -419,6 +456,69 @@ def _checks_sql() -> str:
     return oracle.batch(" UNION ALL ".join(lines))
 
 
+# Orders whose rate update has a time that cannot be read.
+_UNDATED = "CASE WHEN update_id % 700 = 3 THEN 'soon' ELSE `timestamp` END"
+RATE_CHECKS = [c for c in CORE_CHECKS if c.table == "dim_exchange_rates"]
+
+
+def _undated_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks of the rate table when some updates have no readable time."""
+    configure(spark)
+    raw = projection.raw_tables(spark, sf_dir).exchange_rates.withColumn("timestamp", F.expr(_UNDATED))
+    built = dims.exchange_rates(staging.exchange_rates(raw))
+    return run_checks({"dim_exchange_rates": built}, RATE_CHECKS)
+
+
+def _undated_sql() -> str:
+    lost = "(SELECT 2 * count(*) FROM orders WHERE o_orderkey % 700 = 3)"
+    # both currencies of an update share its time
+    shared = """(SELECT 2 * count(*) FROM (SELECT 1 FROM orders WHERE o_orderkey % 700 <> 3
+        GROUP BY (o_orderkey * 173) % 2592000 HAVING count(*) > 1))"""
+    failures = {("currency", "not_null"): "0", ("rate_key", "unique"): shared}
+    return " UNION ALL ".join(
+        f"SELECT 'dim_exchange_rates' AS table_name, '{c.column}' AS column_name, '{c.rule}' AS rule, "
+        f"CAST({failures.get((c.column, c.rule), lost)} AS BIGINT) AS failures"
+        for c in RATE_CHECKS
+    )
+
+
+# Text forms that name a time without a zone, with the unit each of them ends at.
+_FORMS = {
+    "yyyy MMM dd HH:mm": "minute",
+    "yyyy MMM dd HH:mm:ss": "second",
+    "yyyy-MM-dd HH:mm:ss": "second",
+    "yyyy-MM-dd HH:mm": "minute",
+    "yyyy-MM-dd": "day",
+    "yyyy-MM-dd'T'HH:mm:ss": "second",
+    "dd MMM yyyy HH:mm:ss": "second",
+    "dd MMM yyyy HH:mm": "minute",
+    "yyyy/MM/dd HH:mm:ss": "second",
+    "yyyy/MM/dd": "day",
+    "dd/MM/yyyy HH:mm:ss": "second",
+    "dd/MM/yyyy": "day",
+    "yyyyMMddHHmmss": "second",
+    "yyyyMMdd": "day",
+}
+
+
+def _time_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event's time written in one of the known forms and read back."""
+    configure(spark)
+    events = projection.table(spark, sf_dir, "events")
+    written = F.lit(None).cast("string")
+    for i, form in enumerate(_FORMS):
+        written = F.when(F.col("event_id") % len(_FORMS) == i, F.date_format("ts", form)).otherwise(written)
+    read = lenient_time(written).cast("string").alias("read_back")
+    return events.select(F.col("event_id").cast("bigint").alias("event_id"), read)
+
+
+def _time_forms_sql() -> str:
+    units = list(_FORMS.values())
+    cases = " ".join(f"WHEN {i} THEN date_trunc('{u}', ts)" for i, u in enumerate(units))
+    return f"""SELECT CAST(event_id AS BIGINT) AS event_id,
+       strftime(CASE event_id % {len(units)} {cases} END, '%Y-%m-%d %H:%M:%S') AS read_back FROM events"""
+
+
 _TIME_COLUMNS = _columns("event_id:i day_text:s hours:i minute_start:t next_day:t key:s")
 
 
@@ -503,12 +603,62 @@ RAW_NAMES = [
 ]
 
 
+_LOADED = _columns(
+    "transaction_id:i user_id:i user_uuid:s amount:2 currency:s transaction_type:s promo_code_id:n status:s created_at:i"
+)
+
+
+def _loaded_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the loader stores of the written transaction files, row by row."""
+    configure(spark)
+    root = f"{scratch_folder(spark)}/loads/{uuid.uuid4().hex}"
+    write_inputs(spark, sf_dir, f"{root}/in")
+    store = RawStore(spark, f"{root}/store")
+    store.load(f"{root}/in", WRITTEN_FEEDS[0])
+    return plain(store.table(WRITTEN_FEEDS[0]), _LOADED)
+
+
+# Lines that are no single JSON object, made of an event's id.
+_BAD_LINES = [
+    """concat('{"transaction_id": ', event_id, '}{"transaction_id": 1}')""",
+    """concat('{"transaction_id": ', event_id, '} trailing')""",
+    """concat("{'transaction_id': ", event_id, '}')""",
+    """concat('{"transaction_id": ', event_id)""",
+    """concat('[', event_id, ']')""",
+]
+
+
+def _load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bad lines among good ones: what is put aside, and what the log says of the files."""
+    configure(spark)
+    root = f"{scratch_folder(spark)}/loads/{uuid.uuid4().hex}"
+    kinds = " ".join(f"WHEN {i} THEN {text}" for i, text in enumerate(_BAD_LINES))
+    lines = projection.table(spark, sf_dir, "events").select(
+        F.expr(f"""CASE event_id % 10 {kinds} ELSE concat('{{"transaction_id": ', event_id, ', "amount": 1}}') END""")
+    )
+    lines.write.text(f"{root}/in/transactions")
+    store = RawStore(spark, f"{root}/store")
+    store.load(f"{root}/in", replace(TRANSACTIONS, prefix="transactions/", suffix=".txt"))
+    rejected = store.rejects().select("source_type", F.lit("rejected").alias("status"), "line")
+    logged = store.load_log().groupBy("source_type", "status").agg(F.sum("loaded_rows").cast("string").alias("line"))
+    return rejected.unionByName(logged)
+
+
+def _rejects_sql() -> str:
+    kinds = " ".join(f"WHEN {i} THEN {text}" for i, text in enumerate(_BAD_LINES)).replace('concat("{\'transaction_id\': "', "concat('{''transaction_id'': '")
+    return f"""SELECT 'transactions' AS source_type, 'rejected' AS status, CASE event_id % 10 {kinds} END AS line
+        FROM events WHERE event_id % 10 < {len(_BAD_LINES)}
+        UNION ALL
+        SELECT 'transactions', 'success', CAST(count(*) AS VARCHAR) FROM events WHERE event_id % 10 >= {len(_BAD_LINES)}"""
+
+
 def _rt_clear(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the stream tables before and after the clear that ends a rebuild."""
+    """Rows of the stream tables before and after a rebuild, which ends with their clear."""
     root = run_stream(spark, sf_dir)
     before = audit.row_counts({t: sink.latest(spark, root, t) for t in STREAM_TABLES})
     before = settle(before.withColumnRenamed("rows", "rows_before"), "rt-before")
-    sink.clear_tables(spark, root, through=sink.high_water(spark, root))
+    published = Published(spark, f"{scratch_folder(spark)}/published/{uuid.uuid4().hex}")
+    rebuild(warehouse(spark, sf_dir), published, root)
     after = audit.row_counts({t: sink.latest(spark, root, t) for t in STREAM_TABLES})
     return before.join(after.withColumnRenamed("rows", "rows_after"), "table_name")
 
@@ -572,6 +722,9 @@ def entries() -> dict[str, Entry]:
     found["asof_bulk_lineitem_shuffled"] = Entry(
         lambda spark, sf_dir: _bulk_asof(spark, sf_dir, broadcast_rows=0), _BULK_ASOF_SQL
     )
+    found["asof_stray_rates"] = Entry(
+        lambda spark, sf_dir: _bulk_asof(spark, sf_dir, stray=True, broadcast_rows=0), _STRAY_ASOF_SQL
+    )
     found["quarantine_bulk_lineitem"] = Entry(
         _bulk_quarantine,
         oracle.bulk(
@@ -596,5 +749,13 @@ def entries() -> dict[str, Entry]:
         _incremental_load,
         oracle.batch(f"SELECT *, CAST(0 AS BIGINT) AS files_second_run FROM ({_counts_sql(RAW_NAMES)})"),
     )
+    found["loaded_raw_transactions"] = Entry(
+        _loaded_transactions, oracle.batch(plain_sql("raw_transactions", _LOADED))
+    )
+    found["load_rejects"] = Entry(_load_rejects, _rejects_sql())
+    found["undated_rates_gate"] = Entry(_undated_rates, _undated_sql())
+    found["time_forms"] = Entry(_time_forms, _time_forms_sql())
+    found["registered_rt_views"] = Entry(_registered_per_minute, rolling_sql("mart_rt_events_per_minute"))
+    found["registered_rt_quality"] = Entry(_registered_quality, rolling_sql("mart_rt_data_quality_last_60m"))
     found["rt_clear_after_rebuild"] = Entry(_rt_clear, oracle.stream(_CLEAR_SQL))
     return found
