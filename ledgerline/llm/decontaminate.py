@@ -11,7 +11,6 @@ Texts are compared in lower case with runs of white space as one blank.
 from __future__ import annotations
 
 import functools
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,12 +23,11 @@ CHARS_PER_EDIT = 20
 #: Characters of items in one automaton; more items than that are matched in further passes.
 GROUP_CHARS = 4_000_000
 BATCH = 256
-_BLANKS = re.compile(r"\s+")
 
 
 def normal(text: str) -> str:
     """Lower case, blanks collapsed and trimmed."""
-    return _BLANKS.sub(" ", text.lower()).strip()
+    return " ".join(text.lower().split())
 
 
 def budget(length: int) -> int:
