@@ -14,10 +14,12 @@ Pieces then get their place by their rank among the pieces of the same length, w
 
 from __future__ import annotations
 
+import array
 import bisect
 import functools
 import json
 import re
+import sys
 import zlib
 from collections.abc import Iterator
 
@@ -32,7 +34,7 @@ END_ID = 1
 BATCH = 512
 #: Pieces of one length that are ranked together.
 GROUP = 1000
-_CACHED = 200_000
+_CACHED = 400_000
 
 # The shape of tokenizer files whose tokens never span white space, which allows to encode and
 # remember each blank-separated word by itself.
@@ -40,6 +42,41 @@ _BY_WORD_NORMALIZER = ["NFC", "Replace", "Lowercase"]
 _BY_WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Beyond these characters, lower-casing, normal forms or blanks may differ between libraries: encode as a whole.
 _UNUSUAL = re.compile("[^\t-\r -~\x85\xa0-ȷ]|<\\|")
+#: The same pattern for words of the remaining characters: all from À on but two are letters.
+_LETTERS, _NUMBERS = "a-zA-ZªµºÀ-ÖØ-öø-ȷ", "0-9²³¹¼½¾"
+_TOKENS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_LETTERS}{_NUMBERS}]+")
+
+
+def _byte_letters() -> dict[int, int]:
+    """Byte-level vocabularies write each byte as a visible character: itself, or one from U+0100 on."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: b for b in visible} | {b: 256 + i for i, b in enumerate(hidden)}
+
+
+class _Tokens(dict):
+    """Ids of each token as bytes; filled by the tokenizer's own merges as tokens are met."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.model, self.letters = tokenizer.model, _byte_letters()
+
+    def __missing__(self, token: str) -> bytes:
+        text = token if token.isascii() else token.encode().decode("latin-1").translate(self.letters)
+        self[token] = found = array.array("I", [x.id for x in self.model.tokenize(text)]).tobytes()
+        return found
+
+
+class _Words(dict):
+    """Ids of each blank-separated word."""
+
+    def __init__(self, tokens: _Tokens):
+        super().__init__()
+        self.tokens = tokens
+
+    def __missing__(self, word: str) -> bytes:
+        self[word] = found = b"".join([self.tokens[t] for t in _TOKENS.findall(word)])
+        return found
 
 
 class Encoder:
@@ -52,9 +89,15 @@ class Encoder:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         normalizer = (spec.get("normalizer") or {}).get("normalizers", [])
-        split = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
-        self.by_word = [x.get("type") for x in normalizer] == _BY_WORD_NORMALIZER and (split.get("pattern") or {}).get("Regex") == _BY_WORD_PATTERN
-        self.words: dict[str, bytes] = {}
+        steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        self.by_word = (
+            [x.get("type") for x in normalizer] == _BY_WORD_NORMALIZER
+            and [x.get("type") for x in steps] == ["Split", "ByteLevel"]
+            and (steps[0].get("pattern") or {}).get("Regex") == _BY_WORD_PATTERN
+            and not steps[1].get("add_prefix_space")
+            and sys.byteorder == "little"
+        )
+        self.words = _Words(_Tokens(self.tokenizer))
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
@@ -65,15 +108,14 @@ class Encoder:
         odd = [i for i, t in enumerate(texts) if not self.by_word or _UNUSUAL.search(t)]
         for i, ids in zip(odd, self._whole([texts[i] for i in odd]), strict=True):
             out[i] = ids
-        if len(odd) < len(texts):
-            skipped = set(odd)
-            split = {i: t.lower().split() for i, t in enumerate(texts) if i not in skipped}
-            if len(self.words) > _CACHED:
-                self.words = {}
-            new = list(set().union(*split.values()) - self.words.keys())
-            self.words.update(zip(new, self._whole(new), strict=True))
-            for i, words in split.items():
-                out[i] = b"".join(map(self.words.__getitem__, words))
+        if len(self.words) > _CACHED:
+            self.words.clear()
+        if len(self.words.tokens) > _CACHED:
+            self.words.tokens.clear()
+        find, skipped = self.words.__getitem__, set(odd)
+        for i, text in enumerate(texts):
+            if i not in skipped:
+                out[i] = b"".join(map(find, text.lower().split()))
         return out
 
 
