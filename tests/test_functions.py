@@ -126,3 +126,21 @@ def test_a_time_without_zone_is_utc():
 
     naive, east = datetime(2024, 1, 5, 7), datetime(2024, 1, 5, 10, tzinfo=timezone(timedelta(hours=3)))
     assert times.utc(naive) == times.utc(east) and times.utc(naive).tzinfo is timezone.utc
+
+
+@pytest.mark.parametrize(
+    "text,expected",
+    [("1e25", 1e25), ("123456789012345678901.5", 123456789012345678901.5), (" -3.5 ", -3.5), ("NaN", None), ("Infinity", None), ("0x10", None), ("1d", None)],
+)
+def test_numbers_of_any_size(spark, text, expected):
+    from ledgerline.functions import fields
+
+    assert one(spark, text, fields.number) == expected
+
+
+@pytest.mark.parametrize(
+    "text,expected", [("2024-01-05", "2024-01-05"), ("2024", None), ("2024-3", None), ("2024-01-05 xyz", None), ("2024-13-01", None)]
+)
+def test_only_full_dates_are_dates(spark, text, expected):
+    got = one(spark, text, times.lenient_date)
+    assert (str(got) if got else None) == expected

@@ -216,3 +216,59 @@ def test_uncommitted_loads_are_left_out_without_a_shuffle(store, load, write_lin
     assert table.count() == 1
     plan = table._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_lines_that_are_not_one_object_are_rejected(store, load, write_lines, tmp_path, rows):
+    bad = ['{"user_id":3}{"user_id":4}', '{"user_id":3} trailing', "{'user_id':2}", '{"user_id":3},{"user_id":4}', '{"user_id":3}]']
+    write_lines(slot(tmp_path, "01-00"), [tx(1), *bad, ' {"transaction_id": 2} '])
+    load(TRANSACTIONS)
+    assert rows(store.table(TRANSACTIONS), "transaction_id") == [(1,), (2,)]
+    assert rows(store.rejects(), "line") == sorted((b,) for b in bad)
+
+
+def test_one_bad_file_costs_one_file(store, load, write_lines, tmp_path, rows, monkeypatch):
+    for i in range(6):
+        write_lines(slot(tmp_path, f"0{i}-00"), [tx(i)])
+    write = RawStore._write_rows
+
+    def failing(self, root, feed, names, load_id):
+        if any("slot=03-00" in n for n in names):
+            raise OSError("unreadable " + "x" * 2000)
+        return write(self, root, feed, names, load_id)
+
+    monkeypatch.setattr(RawStore, "_write_rows", failing)
+    with pytest.raises(OSError, match="unreadable"):
+        load(TRANSACTIONS)
+    assert rows(store.table(TRANSACTIONS), "transaction_id") == [(i,) for i in (0, 1, 2, 4, 5)]
+    failed = store.load_log().where("status = 'failed'").collect()
+    assert [(r.source_file.split("slot=")[1][:5], len(r.error_message)) for r in failed] == [("03-00", 2011)]
+
+
+def test_views_registered_first_show_later_batches(spark, tmp_path):
+    root, at = f"{tmp_path}/stream", datetime(2024, 1, 5, 7, 30)
+    register_stream(spark, root, at)
+    count = lambda name: spark.sql(f"SELECT count(*) AS n FROM {name}").first().n
+    assert count("rt_transactions") == count("mart_rt_events_per_minute") == 0
+    send(spark, root, 0, 1)
+    assert count("rt_transactions") == count("mart_rt_events_per_minute") == 1
+    send(spark, root, 1, 2)
+    assert count("rt_transactions") == 2 and spark.sql("SELECT transaction_count FROM mart_rt_data_quality_last_60m").first()[0] == 2
+    sink.clear_tables(spark, root, through=sink.high_water(spark, root))
+    assert count("rt_transactions") == count("mart_rt_current_hour_metrics") == 0
+    send(spark, root, 2, 3)
+    sink.clear_tables(spark, root, through=-1)
+    assert count("rt_transactions") == 1
+
+
+def test_a_later_publication_is_current_whatever_its_time(spark, loaded, tmp_path):
+    published = Published(spark, f"{tmp_path}/out")
+    for at in (datetime(2024, 2, 2), datetime(2024, 2, 1)):
+        published.publish(at.isoformat(), at)
+    assert published.current() == "2024-02-01T00:00:00"
+
+
+def test_rates_without_a_readable_time_stop_the_rebuild(spark, loaded, write_lines, tmp_path):
+    write_lines(f"{tmp_path}/in/exchange_rates/late/rates.jsonl", [{"update_id": 9, "timestamp": "soon", "rate_tgrk_punk": 2, "rate_tgrk_rub": 4}])
+    loaded.load(f"{tmp_path}/in", EXCHANGE_RATES)
+    with pytest.raises(CheckFailure, match="dim_exchange_rates.valid_from not_null: 2"):
+        rebuild(warehouse_of(loaded, datetime(2024, 2, 1)), Published(spark, f"{tmp_path}/out"))

@@ -180,5 +180,43 @@ def test_checks(spark):
     require(run_checks({"t": frame.where("v = 1")}, checks))
 
 
+def test_stray_times_add_a_handful_of_rows(spark):
+    times = [START + timedelta(seconds=10 * i) for i in range(500)]
+    stray = [datetime(1970, 1, 1, 0, 0, 1), datetime(1970, 1, 1, 0, 0, 2), datetime(2090, 1, 1)]
+    left = settle(spark.createDataFrame([(i, "A", t + timedelta(seconds=3)) for i, t in enumerate(times)], "i bigint, c string, at timestamp"), "l")
+
+    def openings(points):
+        starts = spark.createDataFrame([("A", t) for t in points], "c string, s timestamp")
+        spans = next_start(starts, "c", "s", "e", "2100-01-01 00:00:00").select(F.col("c").alias("_by"), F.col("s").alias("_start"), F.col("e").alias("_end"))
+        buckets = choose_buckets(spans, "_by", "_start", "_end")
+        used = left.select(F.col("c").alias("_by"), buckets.of(F.col("at")).alias("_bucket")).distinct()
+        return asof.openings(used, spans.withColumn("_bucket", buckets.of(F.col("_start")))).count(), used.count()
+
+    plain, strayed = openings(times), openings(times + stray)
+    assert plain[1] == strayed[1] and strayed[0] <= plain[0] + len(stray)
+
+
+def test_a_full_minute_is_cut_into_seconds(spark):
+    points = [("A", START + timedelta(milliseconds=600 * i), float(i)) for i in range(100)]
+    starts = spark.createDataFrame(points, "c string, s timestamp, v double")
+    intervals = settle(next_start(starts, "c", "s", "e", "2100-01-01 00:00:00"), "t")
+    assert choose_buckets(intervals, "c", "s", "e").cell == 1
+    left = [(i, "A", START + timedelta(milliseconds=37 * i)) for i in range(1500)]
+    frame = spark.createDataFrame(left, "i bigint, c string, at timestamp").withColumn("id", F.col("i"))
+    for rows in (0, 10**9):
+        got = asof_left_join(frame, intervals, "c", "at", "s", "e", {"v": "v"}, "id", broadcast_rows=rows)
+        assert sorted((r.i, r.v) for r in got.collect()) == brute_asof(left, points)
+
+
+def test_hot_buckets_are_salted(spark, monkeypatch):
+    monkeypatch.setattr(asof, "HOT_ROWS", 50)
+    points = [("A", START, 1.0), ("A", START + timedelta(seconds=30), 2.0)]
+    intervals = settle(next_start(spark.createDataFrame(points, "c string, s timestamp, v double"), "c", "s", "e", "2100-01-01 00:00:00"), "t")
+    left = [(i, "A", START + timedelta(seconds=i % 60)) for i in range(300)]
+    frame = spark.createDataFrame(left, "i bigint, c string, at timestamp").withColumn("id", F.col("i"))
+    got = asof_left_join(frame, intervals, "c", "at", "s", "e", {"v": "v"}, "id", broadcast_rows=0, salts=2)
+    assert sorted((r.i, r.v) for r in got.collect()) == brute_asof(left, points)
+
+
 def test_widths_are_nested():
     assert all(a % b == 0 for a, b in zip(asof.WIDTHS, asof.WIDTHS[1:]))

@@ -147,6 +147,15 @@ def test_replayed_batch_overwrites_itself(spark, tmp_path):
     assert sink.read_table(spark, str(tmp_path), "rt_transactions").count() == 2
 
 
+def test_another_query_does_not_overwrite(spark, tmp_path, write_lines):
+    root = f"{tmp_path}/tables"
+    for name, value in (("a", tx()), ("b", tx(transaction_id=8))):
+        write_lines(f"{tmp_path}/{name}/m.txt", [value])
+        messages = file_messages(spark, f"{tmp_path}/{name}")
+        sink.start_feeds(messages, root, f"{tmp_path}/checkpoint-{name}", once=True).awaitTermination()
+    assert sorted(r.transaction_id for r in sink.read_table(spark, root, "rt_transactions").collect()) == [7, 8]
+
+
 def test_latest_row_per_key(spark, tmp_path):
     sink.write_feeds(parsed(spark, tx(user_uuid="old")), 0, str(tmp_path))
     sink.write_feeds(parsed(spark, tx(user_uuid="new"), arrival=WHEN + timedelta(minutes=5)), 1, str(tmp_path))
