@@ -20,12 +20,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerline.llm.common import settle
 
-BLOCK_ROWS = 256
+BLOCK_ROWS = 512
 QUERY_ROWS = 64
 GROUP_BLOCKS = 256
 SEED_BLOCKS = 4
 #: float64 sums of integers are exact below this.
 _EXACT = 2**53
+#: Below every score.
+_NONE = -(2**63)
 
 
 def quantise(embedding: Column, scale: int = 1024) -> Column:
@@ -117,15 +119,15 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
 
     seeds = met.mapInPandas(_seeds, "id long, q long, block long, bound long")
     order = Window.partitionBy("id").orderBy(F.desc("bound"), "block")
-    first = settle(seeds.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SEED_BLOCKS).select("id", "q", "block"), "seeds")
+    first = settle(seeds.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SEED_BLOCKS).select("id", "q", "block", F.lit(_NONE).alias("floor")), "seeds")
     begun = settle(_scored(first, queries, index, k), "seed-scores")
     by_score = Window.partitionBy("id").orderBy(F.desc("score"), "vec_id")
     kth = begun.withColumn("n", F.row_number().over(by_score)).where(F.col("n") == k).select("id", F.col("score").alias("kth"))
     floors = kth.join(queries.select("q", F.explode("q_ids").alias("id")), "id", "right").groupBy("q").agg(
-        F.map_from_entries(F.collect_list(F.struct("id", F.coalesce("kth", F.lit(-(2**63)))))).alias("floors")
+        F.map_from_entries(F.collect_list(F.struct("id", F.coalesce("kth", F.lit(_NONE))))).alias("floors")
     )
-    wanted = met.join(floors, "q").mapInPandas(_above, "id long, q long, block long")
-    rest = wanted.join(first, ["id", "q", "block"], "left_anti")
+    wanted = met.join(floors, "q").mapInPandas(_above, "id long, q long, block long, floor long")
+    rest = wanted.join(first.select("id", "q", "block"), ["id", "q", "block"], "left_anti")
     all_scores = begun.unionByName(_scored(rest, queries, index, k))
     ranked = all_scores.withColumn("rank", F.row_number().over(by_score).cast("int")).where(F.col("rank") <= k)
     return ranked.select(F.col("id").alias("query_id"), "rank", "vec_id", "score")
@@ -160,26 +162,41 @@ def _above(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for row in batch.itertuples():
             ids, blocks, bounds = _bounds_of(row)
-            floors = dict(row.floors)
-            i, j = np.nonzero(bounds >= np.array([floors[x] for x in ids.tolist()], dtype=np.int64)[:, None])
-            yield pd.DataFrame({"id": ids[i], "q": row.q, "block": blocks[j]})
+            known = dict(row.floors)
+            floors = np.array([known[x] for x in ids.tolist()], dtype=np.int64)
+            i, j = np.nonzero(bounds >= floors[:, None])
+            yield pd.DataFrame({"id": ids[i], "q": row.q, "block": blocks[j], "floor": floors[i]})
 
 
 def _scored(wanted: DataFrame, queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
-    """The k best of each wanted (query, block), by the block's forward index."""
+    """The k best of each wanted (query, block) that reach the query's floor, by the block's forward index."""
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for row in batch.itertuples():
-                ids, own = np.asarray(row.ids, dtype=np.int64), np.asarray(row.q_ids, dtype=np.int64)
-                asked = np.isin(own, np.asarray(row.asked, dtype=np.int64))
-                own = own[asked]
-                scores = _product(_matrix(row.q_values, row.q_width, len(asked))[asked], _matrix(row.values, row.width, len(ids)))
-                for i, q in enumerate(own.tolist()):
-                    other = np.flatnonzero(ids != q)
-                    best = other[np.lexsort((ids[other], -scores[i, other]))[:k]]
-                    yield pd.DataFrame({"id": q, "vec_id": ids[best], "score": scores[i, best]})
-
-    grouped = wanted.groupBy("q", "block").agg(F.collect_list("id").alias("asked"))
+            parts = [_best_of(row, k) for row in batch.itertuples()]
+            if parts:
+                found = (np.concatenate(x) for x in zip(*parts, strict=True))
+                yield pd.DataFrame(dict(zip(("id", "vec_id", "score"), found, strict=True)))
+
+    grouped = wanted.groupBy("q", "block").agg(F.collect_list("id").alias("asked"), F.collect_list("floor").alias("floors"))
     full = grouped.join(index.select("block", "ids", "values", "width"), "block").join(queries, "q")
     return full.mapInPandas(score, "id long, vec_id long, score long")
+
+
+def _best_of(row, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, score) of one query block against one block of rows, ties to the smaller ids."""
+    ids, own, asked = (np.asarray(x, dtype=np.int64) for x in (row.ids, row.q_ids, row.asked))
+    order = np.argsort(own)
+    at = order[np.searchsorted(own, asked, sorter=order)]
+    scores = _product(_matrix(row.q_values, row.q_width, len(own))[at], _matrix(row.values, row.width, len(ids)))
+    scores[asked[:, None] == ids[None, :]] = _NONE
+    least = np.maximum(np.asarray(row.floors, dtype=np.int64), _NONE + 1)
+    if len(ids) > k:
+        least = np.maximum(least, np.partition(scores, -k, axis=1)[:, -k])
+    q, i = np.nonzero(scores >= least[:, None])
+    found = scores[q, i]
+    order = np.lexsort((ids[i], -found, q))
+    q, i, found = q[order], i[order], found[order]
+    first = np.searchsorted(q, q)  # ties at the end of the list are cut by id
+    keep = np.arange(len(q)) - first < k
+    return asked[q[keep]], ids[i[keep]], found[keep]
