@@ -4,42 +4,13 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerline import session
+from ledgerline.session import bloom_joins, selective, settle
 
-_CLEANUP = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
-_BLOOM = {
-    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
-    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
-}
-
-
-@contextmanager
-def _settings(spark: SparkSession, values: dict[str, str]):
-    before = {key: spark.conf.get(key, None) for key in values}
-    for key, value in values.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
-def bloom_joins(spark: SparkSession):
-    """Let Spark filter the large side of a join by a Bloom filter of the other's keys, whatever its size."""
-    return _settings(spark, _BLOOM)
-
-
-def settle(df: DataFrame, label: str) -> DataFrame:
-    """Write an intermediate result to the shared folder and read it back; its shuffle files go at once."""
-    with _settings(df.sparkSession, _CLEANUP):
-        return session.settle(df, label)
+__all__ = ["arrow_rows", "bloom_joins", "components", "drop_settled", "read_table", "remainder", "selective", "settle"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -125,9 +125,11 @@ def infer(model: LanguageModel, buckets: np.ndarray, counts: np.ndarray) -> tupl
     return {model.languages[x]: float(s) for x, s in zip(chosen, share, strict=True)}, best
 
 
-def identify(docs: DataFrame, model: LanguageModel, *keep: str | Column) -> DataFrame:
+def identify(docs: DataFrame, model: LanguageModel, *keep: str | Column, with_text: bool = False) -> DataFrame:
     """``keep`` columns and ``lang_pred``, ``score``, ``languages`` (map of proportions) for every row of ``docs``.
 
+    With ``with_text`` the text comes back as ``__text``, so that it travels once.
+
     Texts that are null or have no letter, and all texts under an empty model, get 'und' with score 0. The score is
     the proportion of the predicted language in the chosen mixture. Ties go to the first language by name.
     """
@@ -150,8 +152,11 @@ def identify(docs: DataFrame, model: LanguageModel, *keep: str | Column) -> Data
             columns = [batch.column(i) for i in range(batch.num_columns - 1)]
             columns += [pa.array(best, pa.string()), pa.array([min(1.0, x.get(b, 0.0)) for x, b in zip(found, best, strict=True)], pa.float64())]
             columns.append(pa.array([list(x.items()) for x in found], pa.map_(pa.string(), pa.float64())))
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "lang_pred", "score", "languages"])
+            names = [*batch.schema.names[:-1], "lang_pred", "score", "languages"]
+            if with_text:
+                columns, names = [*columns, batch.column(batch.num_columns - 1)], [*names, "__text"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     # the text goes last under a name of its own, so that no kept column can clash with it
     given = docs.select(*keep, F.col("text").alias("__text"))
-    return given.mapInArrow(work, f"{fields}, lang_pred string, score double, languages map<string,double>")
+    return given.mapInArrow(work, f"{fields}, lang_pred string, score double, languages map<string,double>" + ", __text string" * with_text)

@@ -34,7 +34,7 @@ END_ID = 1
 BATCH = 512
 #: Pieces of one length that are ranked together.
 GROUP = 1000
-_CACHED = 400_000
+_CACHED = 150_000
 
 # The shape of tokenizer files whose tokens never span white space, which allows to encode and
 # remember each blank-separated word by itself.
