@@ -1,10 +1,11 @@
 """N-gram Jaccard join by a count-vector R-tree.
 
-A document's shingles are hashed into ``GROUPS`` groups; the number of its shingles in each group makes it a point.
-Two documents share at most the sum over the groups of the smaller count, so a pair whose sum stays below the
-overlap that the similarity asks for can be left out. An R-tree over the points applies the bound to whole nodes
-first: with a node's largest counts in place of a point's, the sum still bounds every overlap of its members.
-What survives is verified on the full shingle sets.
+A document's shingles are hashed into groups; the number of its shingles in each group makes it a point. Two
+documents share at most the sum over the groups of the smaller count, so a pair whose sum stays below the overlap
+that the similarity asks for can be left out. The number of groups grows with the document, so that counts stay
+small and the bound sharp; points of unlike documents are folded to the smaller number. An R-tree over the points
+applies the bound to whole nodes first: with a node's largest counts in place of a point's, the sum still bounds
+every overlap of its members. What survives is verified on the full shingle sets.
 
 The points are dealt out to trees by a lossless rule: in any fixed order of all shingles, two similar sets share
 one of their first n - ceil(similarity * n) + 1. The order puts shingles of rare hash buckets first, by a sketch
@@ -19,6 +20,7 @@ many members are cut into pairs of blocks, so a task holds a bounded number of p
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,46 +28,81 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerline.llm.common import arrow_rows, components, settle
+from ledgerline.llm.common import arrow_rows, bloom_joins, components, drop_settled, selective, settle
 
 WORDS = 5
 PERCENT = 80
+#: Groups of the shortest documents and of the tree's nodes; a document has a group for every 2 to 4 shingles.
 GROUPS = 64
 BUCKETS = 1 << 18
 BLOCK = 512
 LEAF = 16
 BATCH = 256
-_CACHED = 300_000
+_CACHED = 150_000
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
 class _Words(dict):
-    """Hash of each word; filled as words are met."""
+    """Numbers for words as they are met, and the array of their hashes."""
+
+    def __init__(self):
+        super().__init__()
+        self.hashes = np.zeros(1 << 16, np.uint64)
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = found = xxhash.xxh3_64_intdigest(word)
-        return found
+        n = len(self)
+        if n == len(self.hashes):
+            self.hashes = np.concatenate([self.hashes, np.zeros_like(self.hashes)])
+        self[word] = n
+        self.hashes[n] = xxhash.xxh3_64_intdigest(word)
+        return n
 
 
 _words = _Words()
 
 
-def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the runs of ``words`` words, A-Z lower-cased; a shorter text is one run."""
+def _runs(texts: list[str | None], words: int) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the runs of ``words`` words of each text in turn, and where each text's begin and end.
+
+    A-Z are lower-cased and ASCII blanks part words (as bytes do); a text of fewer words is one run.
+    """
     if len(_words) > _CACHED:
         _words.clear()
-    tokens = text.encode("utf-8", "replace").lower().split() if text else []  # bytes: A-Z and ASCII blanks only
-    if not tokens:
-        return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(_words.__getitem__, tokens), np.uint64, len(tokens))
-    size = min(words, len(tokens))
-    out = np.full(len(tokens) - size + 1, size, np.uint64)
-    for i in range(size):
-        out = (out ^ hashes[i : len(hashes) - size + 1 + i]) * _MIX[0]
-        out ^= out >> np.uint64(29)
+    split = [t.encode("utf-8", "replace").lower().split() if t else [] for t in texts]
+    lengths = np.array([len(x) for x in split], np.int64)
+    numbers = np.fromiter(map(_words.__getitem__, itertools.chain.from_iterable(split)), np.int64, int(lengths.sum()))
+    hashes = np.concatenate([_words.hashes[numbers], np.zeros(words, np.uint64)])
+    ends = np.cumsum(lengths)
+    begins = ends - lengths
+    counts = np.where(lengths >= words, lengths - words + 1, np.minimum(lengths, 1))
+    # the place of each run's first word, and how many words it has
+    cuts = np.concatenate([[0], np.cumsum(counts)])
+    at = np.arange(cuts[-1]) - np.repeat(cuts[:-1] - begins, counts)
+    sizes = np.repeat(np.minimum(lengths, words), counts).astype(np.uint64)
+    out = sizes.copy()
+    short = sizes < words if (lengths < words).any() else None
+    for i in range(words):
+        step = (out ^ hashes[at + i]) * _MIX[0]
+        step ^= step >> np.uint64(29)
+        out = step if short is None else np.where(sizes > i, step, out)
     out = (out ^ out >> np.uint64(30)) * _MIX[1]
     out = (out ^ out >> np.uint64(27)) * _MIX[2]
-    return np.unique(out ^ out >> np.uint64(31))
+    return out ^ out >> np.uint64(31), cuts
+
+
+def _sorted_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray]:
+    """The sorted distinct run hashes of each text."""
+    runs, cuts = _runs(texts, words)
+    out = []
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        own = np.sort(runs[a:b])
+        out.append(own[np.concatenate([[True], own[1:] != own[:-1]])] if b - a > 1 else own)
+    return out
+
+
+def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
+    """The same for one text."""
+    return _sorted_sets([text], words)[0]
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -86,8 +123,7 @@ def _ranks(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(BUCKETS, np.int64)
         for batch in arrow_rows(batches, BATCH):
-            found = [shingles(t) for t in batch.column("text").to_pylist()]
-            totals += np.bincount(np.concatenate([_bucket(x) for x in found]), minlength=BUCKETS)
+            totals += np.bincount(_bucket(_runs(batch.column("text").to_pylist(), WORDS)[0]), minlength=BUCKETS)
         used = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(totals[used])], names=["bucket", "n"])
 
@@ -108,33 +144,67 @@ def _sets(docs: DataFrame, percent: int) -> DataFrame:
     ranks = _ranks(docs)
 
     def first(hashes: np.ndarray) -> np.ndarray:
-        order = np.argsort(ranks[_bucket(hashes)] << np.uint64(58) | hashes >> np.uint64(6), kind="stable")
-        return hashes[order[: prefix_length(len(hashes), percent)]].view(np.int64)
+        # a tree's name is its place in the order: rank, then hash
+        names = np.sort(ranks[_bucket(hashes)] << np.uint64(58) | hashes >> np.uint64(6))
+        return names[: prefix_length(len(hashes), percent)].view(np.int64)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_rows(batches, BATCH):
-            found = [shingles(t) for t in batch.column("text").to_pylist()]
-            digests = [xxhash.xxh3_128_digest(x.tobytes()) for x in found]
-            points = [np.bincount((x & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype("<i4").tobytes() for x in found]
-            columns = [batch.column("doc_id"), pa.array([len(x) for x in found], pa.int64()), pa.array(digests, pa.binary()), pa.array([first(x) for x in found], pa.list_(pa.int64())), pa.array(points, pa.binary())]
+            found = _sorted_sets(batch.column("text").to_pylist())
+            columns = [
+                batch.column("doc_id"),
+                pa.array([len(x) for x in found], pa.int64()),
+                pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in found], pa.binary()),
+                pa.array([first(x) for x in found], pa.list_(pa.int64())),
+                pa.array([point(x).tobytes() for x in found], pa.binary()),
+            ]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "digest", "first", "point"])
 
-    return docs.select("doc_id", "text").mapInArrow(work, f"doc_id {doc_type}, n long, digest binary, first array<long>, point binary")
+    schema = f"doc_id {doc_type}, n long, digest binary, first array<long>, point binary"
+    return docs.select("doc_id", "text").mapInArrow(work, schema)
 
 
-def _points(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype="<i4").reshape(len(column), GROUPS)
+def point(hashes: np.ndarray) -> np.ndarray:
+    """Counts by group. Groups are the low bits of a uniform hash and hold a few shingles each, far from 2^16."""
+    groups = GROUPS
+    while 4 * groups < len(hashes):
+        groups *= 2
+    return np.bincount((hashes & np.uint64(groups - 1)).astype(np.int64), minlength=groups).astype("<u2")
+
+
+def folded(counts: np.ndarray, groups: int) -> np.ndarray:
+    """The same counts in fewer groups (along the last axis): a smaller mask of the hash merges every so-many-th."""
+    if counts.shape[-1] == groups:
+        return counts
+    return counts.reshape(*counts.shape[:-1], -1, groups).sum(axis=-2, dtype=np.uint32)
+
+
+def _points(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x, "<u2") for x in column.to_pylist()]
+
+
+def _shared(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The bound for each of ``left`` with each of ``right`` (rows of counts)."""
+    groups = min(left.shape[1], right.shape[1])
+    left, right = folded(left, groups), folded(right, groups)
+    return np.stack([np.minimum(x, right).sum(axis=1, dtype=np.int64) for x in left])
 
 
 class _Tree:
     """A bulk-loaded R-tree of two levels over count vectors: points sorted by size and counts, leaves of ``LEAF``."""
 
-    def __init__(self, n: np.ndarray, points: np.ndarray):
-        self.order = np.lexsort((*points.T[:4], n)) if len(n) > LEAF else np.arange(len(n))
-        self.points, self.n = points[self.order], n[self.order]
+    def __init__(self, n: np.ndarray, points: list[np.ndarray]):
+        coarse = np.stack([folded(x, GROUPS) for x in points]).astype(np.int64) if len(n) else np.zeros((0, GROUPS), np.int64)
+        self.order = np.lexsort((*coarse.T[:4], n)) if len(n) > LEAF else np.arange(len(n))
+        self.n, coarse = n[self.order], coarse[self.order]
         self.starts = np.arange(0, len(n), LEAF)
+        self.leaves = []
+        for start in self.starts:
+            own = [points[i] for i in self.order[start : start + LEAF]]
+            groups = min(len(x) for x in own)
+            self.leaves.append(np.stack([folded(x, groups) for x in own]))
         if len(n):
-            self.top = np.maximum.reduceat(self.points, self.starts, axis=0)
+            self.top = np.maximum.reduceat(coarse, self.starts, axis=0)
             self.most, self.least = np.maximum.reduceat(self.n, self.starts), np.minimum.reduceat(self.n, self.starts)
 
     def pairs(self, other: _Tree, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -142,32 +212,28 @@ class _Tree:
         left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for leaf, start in enumerate(self.starts if len(other.n) else ()):
             # the leaves of the other tree that may hold a partner of some member of this leaf
-            shared = np.minimum(self.top[leaf], other.top).sum(axis=1)
-            near = shared >= least_overlap(self.least[leaf], other.least, percent)
+            near = np.minimum(self.top[leaf], other.top).sum(axis=1) >= least_overlap(self.least[leaf], other.least, percent)
             near &= (other.most * 100 >= self.least[leaf] * percent) & (self.most[leaf] * 100 >= other.least * percent)
             if other is self:
                 near[:leaf] = False
             mine = slice(start, start + LEAF)
             for found in np.flatnonzero(near):
                 theirs = slice(other.starts[found], other.starts[found] + LEAF)
-                i, j = np.nonzero(allowed(self.n[mine, None], self.points[mine, None], other.n[None, theirs], other.points[None, theirs], percent))
+                bound = _shared(self.leaves[leaf], other.leaves[found])
+                i, j = np.nonzero(bound >= least_overlap(self.n[mine, None], other.n[None, theirs], percent))
                 left.append(i + start)
                 right.append(j + other.starts[found])
         return self.order[np.concatenate(left)], other.order[np.concatenate(right)]
 
 
-def allowed(n: np.ndarray, points: np.ndarray, m: np.ndarray, others: np.ndarray, percent: int) -> np.ndarray:
-    """Whether the summed smaller counts reach the overlap that the similarity asks for."""
-    return np.minimum(points, others).sum(axis=-1) >= least_overlap(n, m, percent)
-
-
 def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes that the count vectors allow."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, m = batch.column("n").to_numpy(), batch.column("m").to_numpy()
-            keep = allowed(n, _points(batch.column("point")), m, _points(batch.column("other")), percent)
+            points = zip(_points(batch.column("point")), _points(batch.column("other")), strict=True)
+            bound = np.array([int(_shared(x[None], y[None])[0, 0]) for x, y in points], np.int64)
+            keep = bound >= least_overlap(batch.column("n").to_numpy(), batch.column("m").to_numpy(), percent)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left = nodes.select(F.col("node").alias("a"), "n", "point")
@@ -189,8 +255,8 @@ def _search(trees: DataFrame, percent: int) -> DataFrame:
             at = [np.arange(len(rows["n"]))] * 2
         else:
             at = [np.flatnonzero(rows["block"] == rows[x][0]) for x in ("left", "right")]
-        a = _Tree(rows["n"][at[0]], rows["point"][at[0]])
-        b = a if at[0] is at[1] else _Tree(rows["n"][at[1]], rows["point"][at[1]])
+        a = _Tree(rows["n"][at[0]], list(rows["point"][at[0]]))
+        b = a if at[0] is at[1] else _Tree(rows["n"][at[1]], list(rows["point"][at[1]]))
         i, j = a.pairs(b, percent)
         i, j = at[0][i], at[1][j]
         keep = rows["root"][i] != rows["root"][j]
@@ -201,7 +267,8 @@ def _search(trees: DataFrame, percent: int) -> DataFrame:
         held: dict[str, np.ndarray] | None = None
         for batch in batches:
             rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("tree", "left", "right", "block", "node", "n", "root")}
-            rows["point"] = _points(batch.column("point"))
+            rows["point"] = np.empty(batch.num_rows, object)
+            rows["point"][:] = _points(batch.column("point"))
             if held is not None:
                 rows = {c: np.concatenate([held[c], rows[c]]) for c in rows}
             new = np.zeros(len(rows["n"]), bool)
@@ -225,16 +292,17 @@ def _search(trees: DataFrame, percent: int) -> DataFrame:
 
 def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of representatives whose full shingle sets are similar enough."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    wanted = settle(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_rows(batches, BATCH):
-            values = [shingles(t).astype("<u8").tobytes() for t in batch.column("text").to_pylist()]
+            values = [x.astype("<u8").tobytes() for x in _sorted_sets(batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values, pa.binary())], names=["node", "set"])
 
     doc_type = docs.schema["doc_id"].dataType.simpleString()
-    found = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").mapInArrow(sets, f"node {doc_type}, set binary")
-    found = settle(found, "shingle-sets")
+    with bloom_joins(docs.sparkSession):
+        given = docs.select("doc_id", "text").join(selective(wanted, "doc_id"), "doc_id", "left_semi")
+        found = settle(given.mapInArrow(sets, f"node {doc_type}, set binary"), "shingle-sets")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_rows(batches, BATCH):
@@ -247,7 +315,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
 
     both = pairs.join(found.select(F.col("node").alias("a"), F.col("set").alias("left")), "a")
     both = both.join(found.select(F.col("node").alias("b"), F.col("set").alias("right")), "b")
-    return settle(both.select("a", "b", "left", "right").mapInArrow(compare, f"a {doc_type}, b {doc_type}"), "links")
+    links = settle(both.select("a", "b", "left", "right").mapInArrow(compare, f"a {doc_type}, b {doc_type}"), "links")
+    drop_settled(found)
+    return links
 
 
 def join_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -257,15 +327,20 @@ def join_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     own. Rows with a null id keep a null component and stand for no document. Rows that repeat an id are one
     document to whose texts links may lead; a component holds all ids reachable through any of them.
     """
-    sets = settle(_sets(docs, percent), "sets")
-    whole = sets.where("doc_id IS NOT NULL AND n > 0")
+    made = settle(_sets(docs, percent), "sets")
+    sets = settle(made.select("doc_id", "n", "digest"), "digests")
+    whole = made.where("doc_id IS NOT NULL AND n > 0")
     # equal sets are one node, named by their smallest id
     classes = settle(whole.groupBy("digest").agg(F.min("doc_id").alias("node")), "classes")
     named = whole.select("digest", F.col("doc_id").alias("node"), "n", "point", "first")
-    nodes = settle(named.join(classes, ["digest", "node"], "left_semi"), "nodes")
-    dealt = nodes.select("node", F.explode("first").alias("tree"))
+    firsts = settle(named.join(classes, ["digest", "node"], "left_semi"), "first-shingles")
+    drop_settled(made)
+    nodes = settle(firsts.select("node", "n", "point"), "nodes")
+    dealt = firsts.select("node", F.explode("first").alias("tree"))
     trees = settle(dealt.groupBy("tree").agg(F.count("*").alias("members"), F.min("node").alias("pivot")).where("members > 1"), "trees")
-    members = settle(dealt.join(trees, "tree"), "members")
+    with bloom_joins(docs.sparkSession):
+        members = settle(dealt.join(selective(trees, "tree"), "tree"), "members")
+    drop_settled(firsts)
 
     star = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     first = _verified(settle(_near(star, nodes, percent), "stars"), docs, percent)
@@ -281,9 +356,10 @@ def join_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     cut = cut.withColumn("left", F.least("block", "other")).withColumn("right", F.greatest("block", "other"))
     cut = cut.join(nodes.select("node", "n", "point"), "node").select("tree", "left", "right", "block", "node", "n", "point", "root")
     second = _verified(settle(_search(cut, percent), "pairs"), docs, percent)
+    drop_settled(nodes, members, rooted)
 
     # an id with several texts holds their nodes together
-    own = whole.select("digest", "doc_id").distinct().join(classes, "digest").groupBy("doc_id").agg(F.collect_set("node").alias("nodes")).where("size(nodes) > 1")
+    own = sets.where("doc_id IS NOT NULL AND n > 0").select("digest", "doc_id").distinct().join(classes, "digest").groupBy("doc_id").agg(F.collect_set("node").alias("nodes")).where("size(nodes) > 1")
     same = own.select(F.array_min("nodes").alias("a"), F.explode("nodes").alias("b"))
     roots = components(first.union(second).union(same))
     found = sets.select("doc_id", "n", "digest").join(classes, "digest", "left").join(roots, "node", "left")
