@@ -30,7 +30,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerline.llm.common import arrow_rows, bloom_joins, drop_settled, settle
+from ledgerline.llm.common import arrow_rows, bloom_joins, drop_settled, selective, settle
 
 WINDOW = 400
 GRAM = 64
@@ -154,8 +154,10 @@ def _strings(docs: DataFrame, classes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names=["id", "m", "first", "back", "ahead", "chars", "data"])
 
     schema = "id long, m long, first long, back long, ahead long, chars array<long>, data binary"
+    wanted = settle(wanted, "wanted-strings")
     with bloom_joins(docs.sparkSession):
-        out = settle(docs.join(wanted, "doc").mapInArrow(work, schema), "strings")
+        out = settle(docs.join(selective(wanted, "doc"), "doc").mapInArrow(work, schema), "strings")
+    drop_settled(wanted)
     # rows that repeat a whole document give its strings again
     return out if out.count() == classes.count() else settle(out.dropDuplicates(["id"]), "strings")
 
@@ -353,6 +355,29 @@ def _repeated(sides: DataFrame) -> DataFrame:
     return found
 
 
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Maximal runs of overlapping or touching spans."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _joined_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The maximal runs of each string, before they are dealt out to its copies."""
+    for batch in batches:
+        spans = batch.column("spans")
+        kind, ends = spans.type, np.cumsum(np.asarray(spans.value_lengths()))
+        flat = spans.flatten()
+        pairs = list(zip(flat.field("start").to_pylist(), flat.field("end").to_pylist(), strict=True))
+        found = [_merged(pairs[a:b]) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+        rows = pa.array([[{"start": a, "end": b} for a, b in x] for x in found], kind)
+        yield pa.RecordBatch.from_arrays([batch.column("content"), rows], names=["content", "spans"])
+
+
 def dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """``doc_id, n_bytes, spans, kept_sha256`` for every row of ``docs``, and the ``kept`` bytes if asked.
 
@@ -365,15 +390,19 @@ def dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
     own = given.select("doc", "text")
     found = settle(_found_segments(own), "segments")
     anchors = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    shared = settle(found.join(anchors, "anchor", "left_semi").drop("anchor"), "shared-segments")
-    drop_settled(found)
+    anchors = settle(anchors, "anchors")
+    with bloom_joins(docs.sparkSession):
+        shared = found.join(selective(anchors, "anchor"), "anchor", "left_semi").drop("anchor")
+        shared = settle(shared, "shared-segments")
+    drop_settled(found, anchors)
     classes = shared.groupBy("content").agg(F.count("*").alias("m"), F.min(F.struct("doc", "key", "lo", "hi", "at")).alias("r"))
     classes = settle(classes.select(F.monotonically_increasing_id().alias("id"), "content", "m", "r.*"), "classes")
     strings = _strings(own, classes)
     ranks = suffix_ranks(strings.select("id", "chars"), DEPTH)
     sides = settle(_sides(_groups(strings, ranks), strings), "sides")
     repeated = _repeated(sides).groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    repeated = settle(classes.select("id", "content").join(repeated, "id").select("content", "spans"), "repeated")
+    repeated = classes.select("id", "content").join(repeated, "id").select("content", "spans")
+    repeated = settle(repeated.mapInArrow(_joined_spans, repeated.schema), "repeated")
     drop_settled(strings, sides)
     placed = shared.select("doc", "key", "lo", "content").join(repeated, "content")
     placed = placed.select("doc", F.struct("key", F.transform("spans", lambda s: F.struct((s["start"] + F.col("lo")).alias("start"), (s["end"] + F.col("lo")).alias("end"))).alias("spans")).alias("hit"))
@@ -386,12 +415,7 @@ def dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
             for doc, text, hits_ in zip(*(batch.column(c).to_pylist() for c in ("doc", "text", "hits")), strict=True):
                 data = _bytes(text)
                 key = _key(doc, data) if hits_ else None
-                merged: list[list[int]] = []
-                for a, b in sorted((s["start"], s["end"]) for h in hits_ or () if h["key"] == key for s in h["spans"]):
-                    if merged and a <= merged[-1][1]:
-                        merged[-1][1] = max(b, merged[-1][1])
-                    else:
-                        merged.append([a, b])
+                merged = _merged([(s["start"], s["end"]) for h in hits_ or () if h["key"] == key for s in h["spans"]])
                 cuts = [0, *(x for s in merged for x in s), len(data)]
                 rest = b"".join(data[a:b] for a, b in zip(cuts[::2], cuts[1::2], strict=True))
                 sizes.append(len(data))
