@@ -245,8 +245,9 @@ def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 def _search(trees: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) in each tree that the counts allow and that are not in one component yet.
 
-    ``trees(tree, left, right, block, node, n, point, root)``: rows with equal (tree, left, right) are the members
-    of one block or of two, which are then only compared with each other.
+    ``trees(tree, left, right, block, node, n, point, root, trees)``: rows with equal (tree, left, right) are the
+    members of one block or of two, which are then only compared with each other. ``trees`` has all searched trees
+    of the node: a pair that several have in common is given by the first of them alone.
     """
     node_type = trees.schema["node"].dataType.simpleString()
 
@@ -260,15 +261,23 @@ def _search(trees: DataFrame, percent: int) -> DataFrame:
         i, j = a.pairs(b, percent)
         i, j = at[0][i], at[1][j]
         keep = rows["root"][i] != rows["root"][j]
-        i, j = rows["node"][i[keep]], rows["node"][j[keep]]
+        i, j = i[keep], j[keep]
+        if len(i):
+            tree = rows["tree"][0]
+            before = {k: {t for t in rows["trees"][k] if t < tree} for k in set(i.tolist()) | set(j.tolist())}
+            first = np.array([before[x].isdisjoint(before[y]) for x, y in zip(i.tolist(), j.tolist(), strict=True)])
+            i, j = i[first], j[first]
+        i, j = rows["node"][i], rows["node"][j]
         return np.minimum(i, j), np.maximum(i, j)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] | None = None
         for batch in batches:
             rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("tree", "left", "right", "block", "node", "n", "root")}
-            rows["point"] = np.empty(batch.num_rows, object)
-            rows["point"][:] = _points(batch.column("point"))
+            for c, values in (("point", _points(batch.column("point"))), ("trees", batch.column("trees").to_pylist())):
+                rows[c] = np.empty(batch.num_rows, object)
+                for k, value in enumerate(values):
+                    rows[c][k] = value
             if held is not None:
                 rows = {c: np.concatenate([held[c], rows[c]]) for c in rows}
             new = np.zeros(len(rows["n"]), bool)
@@ -351,12 +360,14 @@ def join_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     mixed = rooted.groupBy("tree").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"), *alike)
     mixed = settle(mixed.where("low < high").groupBy("size", "x", "y").agg(F.min("tree").alias("tree")).select("tree"), "mixed")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    cut = rooted.join(mixed, "tree").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    searched = settle(rooted.join(mixed, "tree"), "searched")
+    points = nodes.select("node", "n", "point").join(searched.groupBy("node").agg(F.collect_set("tree").alias("trees")), "node")
+    cut = searched.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     cut = cut.withColumn("left", F.least("block", "other")).withColumn("right", F.greatest("block", "other"))
-    cut = cut.join(nodes.select("node", "n", "point"), "node").select("tree", "left", "right", "block", "node", "n", "point", "root")
+    cut = cut.join(points, "node").select("tree", "left", "right", "block", "node", "n", "point", "root", "trees")
     second = _verified(settle(_search(cut, percent), "pairs"), docs, percent)
-    drop_settled(nodes, members, rooted)
+    drop_settled(nodes, members, rooted, searched)
 
     # an id with several texts holds their nodes together
     own = sets.where("doc_id IS NOT NULL AND n > 0").select("digest", "doc_id").distinct().join(classes, "digest").groupBy("doc_id").agg(F.collect_set("node").alias("nodes")).where("size(nodes) > 1")
