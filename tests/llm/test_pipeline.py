@@ -7,7 +7,7 @@ import os
 import __spark_entry__ as contract
 import corpus_pipeline
 import pytest
-from ledgerline.llm import decontaminate as de, queries
+from ledgerline.llm import decontaminate as de, queries, stages
 from ledgerline.llm.common import read_table, settle
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -50,3 +50,16 @@ def test_stages_on_an_empty_table(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = settle(stage(spark, docs, SF_DIR), name)
     assert docs.count() == 0
+
+
+def test_one_row_of_each_component_stays(spark, docs_of):
+    """Copies and near copies under one id or without an id go too; unlike texts under one id stay."""
+
+    def text(name, last="z"):
+        return " ".join([*(f"{name}{i}" for i in range(60)), last])
+
+    rows = [(1, text("a")), (1, text("a")), (1, text("a", "y")), (1, text("b"))]
+    rows += [(None, text("a", "x")), (None, text("c")), (None, text("c")), (None, text("c", "y")), (None, text("d")), (2, text("d"))]
+    rows += [(5, text("e")), (5, text("e", "y")), (5, text("e", "y")), (4, text("e", "x")), (6, text("f")), (None, text("g"))]
+    got = sorted(((r.doc_id, r.text.split()[0]) for r in stages.near_duplicates(spark, docs_of(*rows), SF_DIR).collect()), key=str)
+    assert got == sorted([(1, "a0"), (1, "b0"), (None, "c0"), (2, "d0"), (4, "e0"), (6, "f0"), (None, "g0")], key=str)
