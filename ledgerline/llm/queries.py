@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import decontaminate, jaccard, langid, lines, lm, packing, pii, quality, suffix
+from ledgerline.llm import decontaminate, jaccard, langid, lines, lm, packing, pii, quality, simhash, suffix
 from ledgerline.llm.common import read_table, remainder
 from ledgerline.llm.topk import top_k
 
@@ -75,6 +75,10 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_copies(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix": op1_suffix,
     "op2_packing": op2_packing,
@@ -86,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard": op8_jaccard,
     "op9_decontamination": op9_decontamination,
     "op10_topk": op10_topk,
+    "op12_simhash": op12_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {
