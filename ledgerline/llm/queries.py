@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import decontaminate, jaccard, langid, lines, lm, packing, pii, quality, simhash, suffix
+from ledgerline.llm import decontaminate, jaccard, langid, lines, lm, packing, pii, quality, resample, simhash, suffix
 from ledgerline.llm.common import read_table, remainder
 from ledgerline.llm.topk import top_k
 
@@ -79,6 +79,10 @@ def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(read_table(spark, sf_dir, "documents"))
 
 
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix": op1_suffix,
     "op2_packing": op2_packing,
@@ -91,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_topk": op10_topk,
     "op12_simhash": op12_simhash,
+    "op13_resample": op13_resample,
 }
 
 ORACLE_SQL: dict[str, str] = {
