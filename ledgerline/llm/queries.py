@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerline.llm import decontaminate, jaccard, langid, lines, lm, packing, pii, quality, resample, simhash, suffix
+from ledgerline.llm import align, decontaminate, jaccard, langid, lines, lm, packing, pii, quality, resample, simhash, suffix
 from ledgerline.llm.common import read_table, remainder
 from ledgerline.llm.topk import top_k
 
@@ -75,6 +75,13 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = read_table(spark, sf_dir, "documents")
+    return align.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(read_table(spark, sf_dir, "documents"))
 
@@ -94,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard": op8_jaccard,
     "op9_decontamination": op9_decontamination,
     "op10_topk": op10_topk,
+    "op11_align": op11_align,
     "op12_simhash": op12_simhash,
     "op13_resample": op13_resample,
 }
