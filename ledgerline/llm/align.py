@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import json
 import re
 from collections.abc import Iterator
@@ -30,14 +31,16 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerline.llm.common import settle
+from ledgerline.llm.common import arrow_rows, settle
 from ledgerline.session import with_settings
 
 #: A chunk of documents ends with the document in which it reaches so many distinct units, or units in all.
-UNITS = 1 << 17
-OCCURRENCES = 1 << 20
+UNITS = 1 << 16
+OCCURRENCES = 1 << 19
 #: Chunks that one Arrow batch holds.
 CHUNKS = 4
+#: Documents that are taken from an Arrow batch at once.
+BATCH = 512
 
 # The split of byte-level vocabularies, which never joins a blank to what stands before it.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -146,7 +149,8 @@ class Aligned:
             for i in np.flatnonzero(~self.good).tolist():
                 found[i] = []
         sizes = [np.array([len(ids) for ids in found], np.int64) for found in encoded]
-        ids = [np.array([i for own in found for i in own], np.int64) for found in encoded]
+        ids = [np.fromiter(itertools.chain.from_iterable(found), np.int64, n.sum()) for found, n in zip(encoded, sizes, strict=True)]
+        del encoded, raw
         ends = [np.cumsum(lengths[i]) for lengths, i in zip(by.lengths, ids, strict=True)]
         cuts = np.intersect1d(*ends, assume_unique=True)  # ends of units are ends on both sides
         groups = [np.searchsorted(cuts, end) for end in ends]
@@ -158,10 +162,10 @@ class Aligned:
         self.n_groups = np.bincount(of_group, minlength=len(units))
         self.n_links = np.zeros(len(units), np.int64)
         np.add.at(self.n_links, of_group, held[0] * held[1])
-        self.written = self._write(by, units, ids, groups, held, sizes)
+        self.written = self._write(by, ids, groups, held, sizes)
         self._pairs(by, ids, groups, of_group, len(cuts), len(units))
 
-    def _write(self, by, units, ids, groups, held, sizes) -> list[str]:
+    def _write(self, by, ids, groups, held, sizes) -> list[str]:
         """``a1,a2|b1;`` for the groups of each unit."""
         before = [np.cumsum(n) - n for n in held]
         n = [len(i) for i in ids]
@@ -290,7 +294,7 @@ def _chunks(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
             kind = kinds | {"doc_id": pa.list_(id_type)}
             return pa.RecordBatch.from_arrays([pa.array([values.get(n) if n != "doc_id" else owners], kind[n]) for n in names], names=names)
 
-        for batch in batches:
+        for batch in arrow_rows(batches, BATCH):
             id_type = batch.column("doc_id").type
             for own, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 chunk.add(by.units(text) if text else [])

@@ -75,7 +75,7 @@ TEXTS = [
 ]
 
 
-@pytest.mark.parametrize("units", [1 << 17, 8])
+@pytest.mark.parametrize("units", [1 << 16, 8])
 def test_equals_brute_force(spark, docs_of, corpus, tokenizers, monkeypatch, units):
     """Odd characters, blanks and lines, null and empty texts, null and repeated ids, long words and texts; also in tiny chunks."""
     monkeypatch.setattr(align, "UNITS", units)
