@@ -28,20 +28,23 @@ HOT_ROWS = 100_000
 STRETCH = 4_096
 
 
-def next_start(points: DataFrame, by: str, at: str, out: str, end: str) -> DataFrame:
+def first_of_days(points: DataFrame, by: str, at: str) -> DataFrame:
+    """The first point of each key and day: ``by, _day, _first``."""
+    return points.groupBy(by, F.to_date(at).alias("_day")).agg(F.min(at).alias("_first"))
+
+
+def next_start(points: DataFrame, by: str, at: str, out: str, end: str, firsts: DataFrame | None = None) -> DataFrame:
     """Add the following distinct time per ``by``; ``end`` after the last one.
 
     ``points`` holds one row per (by, at). The lookahead runs per day, and per
-    key over the first point of each day, so no task sorts a whole key.
+    key over the first point of each day, so no task sorts a whole key. When
+    ``points`` are whole days of some more, ``firsts`` has the first points of all.
     """
     daily = points.withColumn("_day", F.to_date(at))
     in_day = Window.partitionBy(by, "_day").orderBy(at)
     over_days = Window.partitionBy(by).orderBy("_day")
-    openings = (
-        daily.groupBy(by, "_day")
-        .agg(F.min(at).alias("_first"))
-        .select(by, "_day", F.lead("_first").over(over_days).alias("_next_day"))
-    )
+    firsts = first_of_days(points, by, at) if firsts is None else firsts
+    openings = firsts.select(by, "_day", F.lead("_first").over(over_days).alias("_next_day"))
     following = F.coalesce(F.col("_same_day"), F.col("_next_day"), F.lit(end).cast("timestamp"))
     return (
         daily.withColumn("_same_day", F.lead(at).over(in_day))

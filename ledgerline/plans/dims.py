@@ -60,13 +60,14 @@ def promo_codes(staged: DataFrame, run_ts: datetime | None = None) -> DataFrame:
     return packed.select("promo_code_id", "_row.code", "_row.max_uses", "_row.expiry_date", *lineage(run_ts))
 
 
-def exchange_rates(staged: DataFrame, run_ts: datetime | None = None) -> DataFrame:
+def exchange_rates(staged: DataFrame, run_ts: datetime | None = None, firsts: DataFrame | None = None) -> DataFrame:
     """Validity intervals per currency, the last one open.
 
     Of rates that start at the same time the greatest (update_id, rate) holds;
     the others, and further copies of it, get an empty interval. A rate whose
     time could not be read stays, without a key, a start or an end, so that the
-    checks on the table see it.
+    checks on the table see it. ``staged`` may be whole days of the rates, when
+    ``firsts`` has the first rate of each currency and day of all of them.
     """
     dated = staged.where("ts IS NOT NULL")
     lost = staged.where("ts IS NULL").select(
@@ -77,7 +78,7 @@ def exchange_rates(staged: DataFrame, run_ts: datetime | None = None) -> DataFra
     )
     entry = F.struct("update_id", "rate")
     starts = dated.groupBy("currency", F.col("ts").alias("valid_from")).agg(F.max(entry).alias("_winner"))
-    spans = next_start(starts, "currency", "valid_from", "_next", OPEN_END)
+    spans = next_start(starts, "currency", "valid_from", "_next", OPEN_END, firsts)
     holds = (F.col("_copy") == 1) & entry.eqNullSafe(F.col("_winner"))
     spanned = (
         restore_copies(rated.join(spans, ["currency", "valid_from"]), "_copies", "_copy")

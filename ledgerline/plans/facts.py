@@ -83,6 +83,11 @@ def transactions(
     )
 
 
+def by_day(fact: DataFrame) -> DataFrame:
+    """The fact with the column it is partitioned by when it is stored."""
+    return fact.withColumn(BY_DAY, F.to_date("created_at"))
+
+
 def quarantine(flagged: DataFrame, run_ts: datetime | None = None) -> DataFrame:
     """Every row of a colliding key, the first one included."""
     return flagged.where("is_transaction_duplicate = 1").select(
@@ -114,6 +119,8 @@ def cancellations(staged: DataFrame, run_ts: datetime | None = None) -> DataFram
     )
 
 
+#: The date that a stored fact is partitioned by.
+BY_DAY = "created_day"
 MATCH_KEYS = ["_id", "_amount", "_day"]
 PICKED = ["transaction_nk", "created_at", "amount_tgrk", "currency", "is_test_user"]
 
@@ -141,6 +148,23 @@ def _candidates(targets: DataFrame) -> DataFrame:
     return single.unionByName(several)
 
 
+def _on_days(fact: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of the days that some key asks for.
+
+    A fact that is stored by day (``created_day``) is pruned to the partitions of those very days while it runs, so
+    that one stray date costs one day more; else the first and last day bound what is read.
+    """
+    if BY_DAY not in fact.columns:
+        days = keys.agg(F.min("_day").alias("first"), F.max("_day").alias("last")).first()
+        low, high = (F.lit(days[c]) for c in ("first", "last"))
+        return fact.where(F.col("created_at").between(low.cast("timestamp"), F.date_add(high, 1).cast("timestamp")))
+    days = settle(keys.select("_day").distinct(), "cancelled-days")
+    # The condition is always true; it tells Spark that these days leave others out.
+    asked = days.where(F.col("_day") >= F.lit("0001-01-01").cast("date"))
+    side = F.broadcast(asked) if fits_broadcast(days) else asked
+    return fact.join(side, F.col(BY_DAY) == F.col("_day"), "left_semi")
+
+
 def cancellation_matches(cancelled: DataFrame, fact: DataFrame, run_ts: datetime | None = None) -> DataFrame:
     """Match each cancellation to transactions of the previous day by id and |amount|.
 
@@ -162,12 +186,9 @@ def cancellation_matches(cancelled: DataFrame, fact: DataFrame, run_ts: datetime
         )
     )
     keys = settle(asked.select(*MATCH_KEYS).where("_day IS NOT NULL").distinct(), "cancelled-keys")
-    days = keys.agg(F.min("_day").alias("first"), F.max("_day").alias("last")).first()
     # Transaction id 0 stands for "none" and is no match target. Days without a cancellation are not read.
-    days_asked = F.col("created_at").between(
-        F.lit(days["first"]).cast("timestamp"), F.date_add(F.lit(days["last"]), 1).cast("timestamp")
-    )
-    targets = fact.where("transaction_id != 0").where(days_asked).select(
+    fact = _on_days(fact, keys)
+    targets = fact.where("transaction_id != 0").select(
         F.col("transaction_id").alias("_id"),
         _exact(F.col("amount")).alias("_amount"),
         F.to_date("created_at").alias("_day"),

@@ -215,11 +215,11 @@ def cancellations_daily(activity: DataFrame, matches: DataFrame) -> DataFrame:
     )
 
 
-def promo_usage(promos: DataFrame, fact: DataFrame) -> DataFrame:
-    """Use of every promo by test flag; an unused promo has 0 uses and no flag."""
-    used = (
+def promo_uses(fact: DataFrame, *by: str) -> DataFrame:
+    """Counts and revenue per promo and test flag, and per ``by`` if given: sums that can be summed again."""
+    return (
         fact.where("promo_code_id IS NOT NULL")
-        .groupBy("promo_code_id", "is_test_user")
+        .groupBy("promo_code_id", "is_test_user", *by)
         .agg(
             F.count(F.lit(1)).alias("uses_total"),
             F.count_if(bought()).alias("uses_completed_purchase"),
@@ -227,6 +227,15 @@ def promo_usage(promos: DataFrame, fact: DataFrame) -> DataFrame:
             sum_if(F.col("amount_tgrk"), bought()).alias("revenue_tgrk"),
         )
     )
+
+
+def promo_usage(promos: DataFrame, fact: DataFrame) -> DataFrame:
+    """Use of every promo by test flag; an unused promo has 0 uses and no flag."""
+    return promo_usage_of(promos, promo_uses(fact))
+
+
+def promo_usage_of(promos: DataFrame, used: DataFrame) -> DataFrame:
+    """The same from the sums of each promo and test flag."""
     kept = promos.select("promo_code_id", "code", "max_uses", "expiry_date").join(used, "promo_code_id", "left")
     kept = kept.withColumns({c: _zero(c) for c in ["uses_total", "uses_completed_purchase", "uses_expired"]})
     kept = kept.withColumn("real_uses", F.col("uses_total") - F.col("uses_expired"))
@@ -247,18 +256,27 @@ def promo_usage(promos: DataFrame, fact: DataFrame) -> DataFrame:
     )
 
 
+def user_days(fact: DataFrame) -> DataFrame:
+    """Purchases of each user by day and test flag."""
+    return (
+        fact.where(bought() & F.col("user_uuid").isNotNull())
+        .groupBy("user_uuid", F.to_date("created_at").alias("activity_date"), "is_test_user")
+        .agg(F.count(F.lit(1)).alias("_purchases"), F.sum("amount_tgrk").alias("_revenue"))
+    )
+
+
 def user_cohorts(fact: DataFrame) -> DataFrame:
     """Activity of users by the day of their first purchase.
 
     Purchases shrink to one row per user, day and test flag before anything is
     grouped by user alone, so the busiest user costs one row per active day.
     """
-    active = (
-        fact.where(bought() & F.col("user_uuid").isNotNull())
-        .groupBy("user_uuid", F.to_date("created_at").alias("activity_date"), "is_test_user")
-        .agg(F.count(F.lit(1)).alias("_purchases"), F.sum("amount_tgrk").alias("_revenue"))
-        .withColumn("cohort_date", F.min("activity_date").over(Window.partitionBy("user_uuid")))
-    )
+    first = F.min("activity_date").over(Window.partitionBy("user_uuid"))
+    return cohorts_of(user_days(fact).withColumn("cohort_date", first))
+
+
+def cohorts_of(active: DataFrame) -> DataFrame:
+    """The same from the days of users and the ``cohort_date`` of each."""
     return (
         active.groupBy("cohort_date", "activity_date", "is_test_user")
         .agg(
@@ -282,9 +300,16 @@ def data_quality_daily(
     flagged: DataFrame, quarantined: DataFrame, activity: DataFrame, matches: DataFrame
 ) -> DataFrame:
     """Row counts by defect per day, days of any source; gaps are 0."""
+    return quality_of(staged_quality(flagged), quarantined, activity, matches)
+
+
+def staged_quality(flagged: DataFrame) -> DataFrame:
+    """The counts of the staged rows of each day.
+
+    Rows without a collision collapse to one key per day before the shuffle.
+    """
     duplicate = F.col("is_transaction_duplicate") == 1
-    # Rows without a collision collapse to one key per day before the shuffle.
-    staged = distinct_per(
+    return distinct_per(
         flagged.withColumn("event_date", F.to_date("created_at")),
         "event_date",
         F.when(duplicate, F.col("transaction_nk")),
@@ -310,6 +335,10 @@ def data_quality_daily(
             ]
         ],
     ).withColumnRenamed("groups", "duplicate_transaction_groups")
+
+
+def quality_of(staged: DataFrame, quarantined: DataFrame, activity: DataFrame, matches: DataFrame) -> DataFrame:
+    """The quality mart from the counts of the staged rows and the other sources."""
     held = distinct_per(
         quarantined.withColumn("event_date", F.to_date("created_at")),
         "event_date",

@@ -10,6 +10,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 
 from ledgerline.functions.times import utc
 from ledgerline.operators.checks import require, run_checks
+from ledgerline.plans import facts
 from ledgerline.plans.warehouse import Warehouse
 from ledgerline.session import configure, settling
 from ledgerline.sources.loader import RawStore
@@ -67,10 +68,12 @@ class Published:
         self.spark = configure(spark)
         self.root = root.rstrip("/")
 
-    def write(self, run_id: str, name: str, df: DataFrame, sort: str | None = None) -> DataFrame:
+    def write(self, run_id: str, name: str, df: DataFrame, sort: str | None = None, by: str | None = None) -> DataFrame:
+        """Store a table, sorted by a column within its files, in a folder for each value of ``by`` if given."""
         path = f"{self.root}/runs/{run_id}/{name}"
-        ordered = df.sortWithinPartitions(sort) if sort else df
-        ordered.write.mode("overwrite").parquet(path)
+        order = [c for c in (by, sort) if c]
+        writer = (df.sortWithinPartitions(*order) if order else df).write.mode("overwrite")
+        (writer.partitionBy(by) if by else writer).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def runs(self) -> list[str]:
@@ -136,7 +139,10 @@ def rebuild(
     try:
         with settling(spark):
             for name, sort in CORE.items():
-                built[name] = published.write(run_id, name, getattr(warehouse, name), sort)
+                if name == "fact_transactions":
+                    built[name] = published.write(run_id, name, facts.by_day(warehouse.fact_transactions), sort, facts.BY_DAY)
+                else:
+                    built[name] = published.write(run_id, name, getattr(warehouse, name), sort)
                 setattr(warehouse, name, built[name])
                 if name in STORED:
                     setattr(warehouse, STORED[name], built[name])

@@ -65,7 +65,12 @@ def flagged_transactions(raw: DataFrame) -> DataFrame:
 
     All files of a slot must be in ``raw``, as a collision may span files.
     """
-    sized = with_group_size(keyed_transactions(raw), "transaction_nk", "transaction_dup_cnt")
+    return flagged_rows(keyed_transactions(raw))
+
+
+def flagged_rows(keyed: DataFrame) -> DataFrame:
+    """The same over rows that are keyed already, whole file days of them."""
+    sized = with_group_size(keyed, "transaction_nk", "transaction_dup_cnt")
     flags = quality_flags(F.col("user_uuid"), F.col("amount"), F.col("status"), F.col("transaction_type"))
     return sized.withColumns(
         {"is_transaction_duplicate": flag(F.col("transaction_dup_cnt") > 1), **flags}

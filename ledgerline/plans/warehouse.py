@@ -101,7 +101,7 @@ class Warehouse:
 
     @cached_property
     def stored_transactions(self) -> DataFrame:
-        return self.keep(self.fact_transactions, "fact_transactions")
+        return self.keep(facts.by_day(self.fact_transactions), "fact_transactions", facts.BY_DAY)
 
     @cached_property
     def stored_matches(self) -> DataFrame:

@@ -213,6 +213,28 @@ def test_matching_without_the_broadcast_filter(build, rows, monkeypatch):
     assert rows(build(txs, cancels).fact_cancellation_matches.drop("loaded_at")) == expected
 
 
+def test_a_stray_cancellation_reads_one_more_day(spark, rows, tmp_path):
+    """The fact is pruned to the asked days themselves while the query runs."""
+    day = "date_add(date'2024-01-01', cast(id % 20 as int))"
+    made = spark.range(200).selectExpr(
+        "id + 1 transaction_id", "concat('n', id) transaction_nk", "5.0D amount", "5.0D amount_tgrk", "'TGRK' currency",
+        "0 is_test_user", f"cast({day} as timestamp) created_at",
+    )
+    facts.by_day(made).write.partitionBy("created_day").parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    cancelled = spark.createDataFrame(
+        [("c1", 1, 3, "x", datetime(2024, 1, 4), -5.0), ("c2", 2, 9, "x", datetime(1970, 1, 2), -5.0)],
+        "cancellation_nk string, cancellation_id bigint, original_transaction_id bigint, reason string, cancelled_at timestamp, refund_amount double",
+    )
+    keys = spark.createDataFrame([(date(2024, 1, 3),), (date(1970, 1, 1),)], "_day date")
+    pruned = facts._on_days(fact, keys)
+    assert pruned.count() == 10
+    pruned.collect()
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    assert rows(facts.cancellation_matches(cancelled, fact), "cancellation_id", "match_status") == [(1, "matched"), (2, "unmatched")]
+
+
 def test_unused_promo_has_no_uses(build, rows):
     promos = [(1, "A", 1, "2024-01-01", "p", NOW), (2, "B", 0, "2024-01-01", "p", NOW)]
     txs = [tx(1, promo=1), tx(2, promo=1), tx(3, promo=1, status="failed", at=DAY + 90000)]
