@@ -138,6 +138,7 @@ def rebuild(
     built: dict[str, DataFrame] = {}
     try:
         with settling(spark):
+            warehouse.store_keyed()
             for name, sort in CORE.items():
                 if name == "fact_transactions":
                     built[name] = published.write(run_id, name, facts.by_day(warehouse.fact_transactions), sort, facts.BY_DAY)

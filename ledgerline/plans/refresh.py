@@ -131,11 +131,16 @@ class _Refresh:
     def build(self) -> None:
         days = self.take_transactions()
         days |= self.take_users() | self.take_promos() | self.take_rates()
-        if days:
+        first = self.new.transactions is not None and not self.run.has("fact_transactions")  # tables without rows are there too
+        if days or first:
             self.build_facts(days)
         cancelled = self.take_cancellations(days)
-        self.build_marts(days, days | cancelled)
-        self.build_cohorts(days)
+        if days or cancelled or first:
+            self.build_marts(days, days | cancelled)
+        if days or first:
+            self.build_cohorts(days)
+        if days or "dim_promo_codes" in self.run.written:
+            self.build_promo_usage()
         self.check()
 
     def _replace(self, tables: dict[str, tuple[DataFrame, Column | str, Iterable[str]]]) -> None:
@@ -273,7 +278,7 @@ class _Refresh:
             return set()
         index = run.read("cancelled_days")
         came |= _values(index.where(F.col("cancelled_day").isin(_shifted(days, 1))), "day")
-        if not came:
+        if not came and run.has("fact_cancellations"):
             return set()
         cancelled = facts.cancellations(run.read("stg_cancellations", came), self.run_ts)
         run.replace("fact_cancellations", cancelled.withColumn("day", cancellation_day(F.col("cancellation_nk"))), came)
@@ -288,34 +293,35 @@ class _Refresh:
     def build_marts(self, sold: set[str], days: set[str]) -> None:
         """``sold``: days whose transactions changed; ``days``: those or days whose cancellations did."""
         run = self.run
-        if days:
-            index = run.read("cancelled_days").where(F.col("cancelled_day").isin(sorted(days)))
-            matches = run.read("fact_cancellation_matches", _values(index, "day")).drop("day")
-            matches = matches.where(day_text("cancelled_at").isin(sorted(days)))
-            activity = run.read("activity_hourly", days).drop("day")
-            staged, held = (run.read(n, days).drop("day") for n in ("staged_quality", "dq_transactions_duplicate"))
-            sales = run.read("activity_hourly", sold).drop("day")
-            self._replace(
-                {
-                    "mart_revenue_daily": (marts.revenue_daily(activity, matches), "revenue_date", days),
-                    "mart_traffic_source_daily": (marts.traffic_source_daily(activity, matches), "event_date", days),
-                    "mart_cancellations_daily": (marts.cancellations_daily(activity, matches), "cancelled_date", days),
-                    "mart_data_quality_daily": (marts.quality_of(staged, held, activity, matches), "event_date", days),
-                    "mart_transactions_hourly": (marts.transactions_hourly(sales), "created_hour", sold),
-                    "mart_purchases_hourly": (marts.purchases_hourly(sales), "created_hour", sold),
-                    "mart_currency_daily": (marts.currency_daily(sales), "event_date", sold),
-                }
-            )
-        if sold or "dim_promo_codes" in run.written:
-            counts = ["uses_total", "uses_completed_purchase", "uses_expired", "revenue_tgrk"]
-            used = run.read("promo_uses").groupBy("promo_code_id", "is_test_user").agg(*[F.sum(c).alias(c) for c in counts])
-            run.put("mart_promo_usage", marts.promo_usage_of(run.read("dim_promo_codes").drop("day"), used))
+        index = run.read("cancelled_days").where(F.col("cancelled_day").isin(sorted(days)))
+        matches = run.read("fact_cancellation_matches", _values(index, "day")).drop("day")
+        matches = matches.where(day_text("cancelled_at").isin(sorted(days)))
+        activity = run.read("activity_hourly", days).drop("day")
+        staged, held = (run.read(n, days).drop("day") for n in ("staged_quality", "dq_transactions_duplicate"))
+        sales = run.read("activity_hourly", sold).drop("day")
+        self._replace(
+            {
+                "mart_revenue_daily": (marts.revenue_daily(activity, matches), "revenue_date", days),
+                "mart_traffic_source_daily": (marts.traffic_source_daily(activity, matches), "event_date", days),
+                "mart_cancellations_daily": (marts.cancellations_daily(activity, matches), "cancelled_date", days),
+                "mart_data_quality_daily": (marts.quality_of(staged, held, activity, matches), "event_date", days),
+                "mart_transactions_hourly": (marts.transactions_hourly(sales), "created_hour", sold),
+                "mart_purchases_hourly": (marts.purchases_hourly(sales), "created_hour", sold),
+                "mart_currency_daily": (marts.currency_daily(sales), "event_date", sold),
+            }
+        )
+
+    def build_promo_usage(self) -> None:
+        run = self.run
+        if not run.has("promo_uses"):
+            return
+        counts = ["uses_total", "uses_completed_purchase", "uses_expired", "revenue_tgrk"]
+        used = run.read("promo_uses").groupBy("promo_code_id", "is_test_user").agg(*[F.sum(c).alias(c) for c in counts])
+        run.put("mart_promo_usage", marts.promo_usage_of(run.read("dim_promo_codes").drop("day"), used))
 
     def build_cohorts(self, days: set[str]) -> None:
         """Follow the first day of users who bought, or no longer did, on the touched days."""
         run = self.run
-        if not days:
-            return
         after = run.read("user_days", days)
         if not run.has("first_days"):
             first = after.groupBy("user_uuid").agg(F.min("activity_date").alias("first"))

@@ -8,7 +8,12 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from ledgerline.plans import dims, facts, marts, staging
-from ledgerline.session import configure, settle
+from ledgerline.session import configure, declare_settled, settle, settled_at, wanted_partitions
+from ledgerline.sources.keyed import KeyedRows
+
+
+#: Key buckets of a file day where the raw rows are few or their size is not known.
+LEAST_BUCKETS = 2
 
 
 class Warehouse:
@@ -45,6 +50,17 @@ class Warehouse:
     def flagged(self) -> DataFrame:
         return staging.flagged_transactions(self.raw_transactions)
 
+    def store_keyed(self) -> None:
+        """Store the raw transactions with their keys, by file day and key bucket, for all tables that read them.
+
+        The raw rows are scanned once for it, and not again by any table built afterwards.
+        """
+        spark, root = self.raw_transactions.sparkSession, settled_at(self.raw_transactions.sparkSession, "keyed")
+        store = KeyedRows(spark, root, max(LEAST_BUCKETS, wanted_partitions(self.raw_transactions)))
+        declare_settled(root, store.table)
+        days = store.insert(self.raw_transactions, "all")
+        self.flagged = staging.flagged_rows(store.rows(dict.fromkeys(days, ("all",)), days))
+
     @cached_property
     def stg_transactions(self) -> DataFrame:
         return staging.transactions(self.flagged)

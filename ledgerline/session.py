@@ -37,6 +37,7 @@ _CLEANUP = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 _local_scratch: dict[str, str] = {}
 _settled: dict[str, list[str]] = {}
+_declared: dict[str, str] = {}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -165,11 +166,25 @@ def settle(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled_at(spark: SparkSession, label: str) -> str:
+    """A folder in the shared folder that goes with the settled ones."""
+    path = f"{scratch_folder(spark)}/settled/{label}-{uuid.uuid4().hex}"
+    _settled.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def declare_settled(path: str, table: str) -> None:
+    """A table over a settled folder, to be dropped with it."""
+    _declared[path] = table
+
+
 def sweep_settled(spark: SparkSession, since: int = 0) -> int:
     """Delete the folders this application has settled, from the ``since``-th on; how many there were."""
     paths = _settled.get(spark.sparkContext.applicationId, [])
     gone, paths[since:] = paths[since:], []
     for path in gone:
+        if path in _declared:
+            spark.sql(f"DROP TABLE IF EXISTS {_declared.pop(path)}")
         where = spark._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
     return len(gone)
