@@ -34,7 +34,7 @@ from ledgerline.sources.schemas import (
     TRANSACTIONS,
     USERS,
 )
-from ledgerline.streaming import feeds, live, sink
+from ledgerline.streaming import feeds, live, sink, state
 from ledgerline.trial import oracle, projection
 
 AS_OF = datetime(2024, 1, 15, 12, 0, 0)
@@ -254,6 +254,18 @@ def run_stream(spark: SparkSession, sf_dir: str, root: str | None = None) -> str
     return f"{root}/tables"
 
 
+def _stateful(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """The stream table as the state of a query over the events file holds it."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
+        checkpoint = f"{stream_root(spark)}/checkpoint"
+        state.keep_feed(projection.message_stream(spark, sf_dir), name, checkpoint, "arrived_at", once=True).awaitTermination()
+        return plain(state.kept_table(spark, checkpoint, name), COLUMNS[name])
+
+    return run
+
+
 def _streamed(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: plain(sink.latest(spark, run_stream(spark, sf_dir), name), COLUMNS[name])
 
@@ -711,6 +723,7 @@ def entries() -> dict[str, Entry]:
             lambda spark, sf_dir, name=name: plain(feed_tables(spark, sf_dir)[name], COLUMNS[name]), sql
         )
         found[f"streamed_{name}"] = Entry(_streamed(name), sql)
+        found[f"stateful_{name}"] = Entry(_stateful(name), sql)
 
     def rolling_sql(name: str) -> str:
         return oracle.stream(plain_sql(name, COLUMNS[name]))
