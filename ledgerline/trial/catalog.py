@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -665,6 +666,96 @@ def _rejects_sql() -> str:
         SELECT 'transactions', 'success', CAST(count(*) AS VARCHAR) FROM events WHERE event_id % 10 >= {len(_BAD_LINES)}"""
 
 
+# Files by the type of their events: errors get an amount that is no number, which fails their file alone.
+_MIXED = """concat('{"transaction_id": ', event_id, ', "amount": ', CASE event_type WHEN 'error' THEN '[1]' ELSE '1' END, '}')"""
+
+
+def _load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the log says of a load of one file for each event type, one of them with values of the wrong type; loaded twice."""
+    configure(spark)
+    root = f"{scratch_folder(spark)}/loads/{uuid.uuid4().hex}"
+    lines = projection.table(spark, sf_dir, "events").select("event_type", F.expr(_MIXED).alias("line"))
+    lines.repartition("event_type").write.partitionBy("event_type").text(f"{root}/in/transactions")
+    store = RawStore(spark, f"{root}/store")
+    for _ in range(2):
+        store.load(f"{root}/in", replace(TRANSACTIONS, prefix="transactions/", suffix=".txt"))
+    kind = F.regexp_extract("source_file", "event_type=([^/]+)", 1)
+    stored = store.table(TRANSACTIONS).groupBy(kind.alias("event_type")).agg(F.count(F.lit(1)).alias("stored_rows"))
+    logged = store.load_log().groupBy(kind.alias("event_type"), "source_type", "status", "error_message").agg(
+        F.count(F.lit(1)).alias("entries"), F.max("loaded_rows").alias("loaded_rows")
+    )
+    return logged.join(stored, "event_type", "left").withColumn("stored_rows", F.coalesce("stored_rows", F.lit(0)).cast("bigint"))
+
+
+_LOAD_LOG_SQL = """SELECT event_type, 'transactions' AS source_type, CASE event_type WHEN 'error' THEN 'failed' ELSE 'success' END AS status,
+       CASE event_type WHEN 'error' THEN 'value of the wrong type' ELSE '' END AS error_message,
+       CAST(CASE event_type WHEN 'error' THEN 2 ELSE 1 END AS BIGINT) AS entries,
+       CASE event_type WHEN 'error' THEN 0 ELSE count(*) END AS loaded_rows,
+       CASE event_type WHEN 'error' THEN 0 ELSE count(*) END AS stored_rows
+FROM events GROUP BY event_type"""
+
+
+def _restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream run over half of the events, stopped, and started again when the other half is there."""
+    configure(spark)
+    root = stream_root(spark)
+    events = projection.table(spark, sf_dir, "events")
+    for half in range(2):
+        events.where(F.col("event_id") % 2 == half).write.mode("append").parquet(f"{root}/events")
+        arriving = spark.readStream.schema(events.schema).parquet(f"{root}/events")
+        sink.start_feeds(
+            projection.to_messages(arriving), f"{root}/tables", f"{root}/checkpoint", "arrived_at", once=True
+        ).awaitTermination()
+    stored = sink.read_table(spark, f"{root}/tables", "rt_transactions")
+    return stored.agg(F.count(F.lit(1)).alias("stored_rows"), F.countDistinct("transaction_id").alias("transactions"))
+
+
+# Every accepted arrival is stored once, those of messages that came twice both times.
+_RESTARTED_SQL = """SELECT sum(CASE event_type WHEN 'purchase' THEN CASE WHEN k BETWEEN 10 AND 14 THEN 2 ELSE 1 END ELSE 1 END)::BIGINT AS stored_rows,
+       count(*) AS transactions
+FROM (SELECT event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
+WHERE event_type NOT IN ('error', 'signup') AND coalesce(k, 0) NOT IN (1, 2, 3)"""
+
+
+def _quality_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of the last hour as of now, of messages that arrived up to 88 minutes ago."""
+    configure(spark)
+    parsed = feeds.parse_messages(projection.messages(spark, sf_dir), "arrived_at")
+    ago = F.make_interval(mins=(F.col("transaction_id") % 9 * 11).cast("int"))
+    rows = feeds.transactions(parsed).withColumn("loaded_at", F.current_timestamp() - ago)
+    now = sink.collapse(rolling.recent(rows, None), "rt_transactions")
+    return plain(rolling.data_quality(now), _NOW_COLUMNS)
+
+
+_NOW_COLUMNS = {n: k for n, k in COLUMNS["mart_rt_data_quality_last_60m"].items() if not n.endswith("_at")}
+_QUALITY_NOW_SQL = f"""(SELECT 'kafka' AS source, transaction_count, empty_user_count, negative_amount_count, zero_amount_count,
+       0 AS duplicate_transaction_count, empty_user_count / transaction_count AS empty_user_share,
+       negative_amount_count / transaction_count AS negative_amount_share, zero_amount_count / transaction_count AS zero_amount_share
+FROM (SELECT count(*) AS transaction_count, sum(is_empty_user) AS empty_user_count, sum(is_negative_amount) AS negative_amount_count,
+             sum(is_zero_amount) AS zero_amount_count
+      FROM rt_transactions WHERE transaction_id % 9 * 11 < 60))"""
+
+
+def _lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source and time that every row of the built tables carries."""
+    built = warehouse(spark, sf_dir)
+    built.run_ts = AS_OF
+    stamped = [
+        getattr(built, name)
+        .groupBy("source", F.col("loaded_at").cast("string").alias("loaded_at"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .select(F.lit(name).alias("table_name"), "source", "loaded_at", "rows")
+        for name in STAMPED
+    ]
+    return reduce(DataFrame.unionByName, stamped)
+
+
+STAMPED = ["dim_users", "dim_promo_codes", "dim_exchange_rates", "fact_cancellations", "dq_transactions_duplicate"]
+_LINEAGE_SQL = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, 'S3' AS source, '{AS_OF}' AS loaded_at, count(*) AS rows FROM {t}" for t in STAMPED
+)
+
+
 def _rt_clear(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the stream tables before and after a rebuild, which ends with their clear."""
     root = run_stream(spark, sf_dir)
@@ -790,6 +881,10 @@ def entries() -> dict[str, Entry]:
     found["touched_days_quality"] = _two_steps("mart_data_quality_daily")
     found["touched_days_cohorts"] = _two_steps("mart_user_cohorts")
     found["spliced_exchange_rates"] = _two_steps("dim_exchange_rates", ["exchange_rates"])
+    found["load_log_rows"] = Entry(_load_log, _LOAD_LOG_SQL)
+    found["stream_restarted"] = Entry(_restarted, _RESTARTED_SQL)
+    found["rt_quality_as_of_now"] = Entry(_quality_now, oracle.stream(plain_sql(_QUALITY_NOW_SQL, _NOW_COLUMNS)))
+    found["lineage_of_tables"] = Entry(_lineage, oracle.batch(_LINEAGE_SQL))
     found["scalar_functions"] = Entry(_scalar_functions, _SCALAR_SQL)
     found["incremental_load"] = Entry(
         _incremental_load,
