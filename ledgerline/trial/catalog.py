@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.functions.times import lenient_time
+from ledgerline.operators import bitmaps
 from ledgerline.operators.asof import asof_left_join
 from ledgerline.operators.checks import CORE_CHECKS, run_checks
 from ledgerline.operators.collisions import distinct_per
@@ -695,6 +696,30 @@ _LOAD_LOG_SQL = """SELECT event_type, 'transactions' AS source_type, CASE event_
 FROM events GROUP BY event_type"""
 
 
+def _distinct_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users of the seven days up to each day, from bitmaps by day; the second half of the days came later."""
+    configure(spark)
+    rows = projection.transactions(spark, sf_dir).select(
+        F.to_date(F.regexp_extract("source_file", "day=([^/]+)", 1)).alias("day"), "user_uuid"
+    )
+    early, late = rows.where("day <= DATE'2024-01-15'"), rows.where("day > DATE'2024-01-15'")
+    numbers = bitmaps.number_keys(early, "user_uuid")
+    stored = settle(bitmaps.day_bitmaps(early, "day", "user_uuid", numbers), "day-bitmaps")
+    added = bitmaps.day_bitmaps(late, "day", "user_uuid", bitmaps.number_keys(late, "user_uuid", numbers))
+    counted = bitmaps.sliding(stored.unionByName(settle(added, "day-bitmaps")), "day", 7, "users")
+    return counted.select(F.col("until").cast("string").alias("until"), "users")
+
+
+_DISTINCT_USERS_SQL = oracle.batch(
+    """SELECT CAST(d.day AS VARCHAR) AS until, count(DISTINCT p.user_uuid) AS users
+FROM (SELECT unnest(generate_series(min(day), max(day), INTERVAL 1 DAY))::DATE AS day
+      FROM (SELECT CAST(regexp_extract(source_file, 'day=([^/]+)', 1) AS DATE) AS day FROM raw_transactions)) d
+JOIN (SELECT CAST(regexp_extract(source_file, 'day=([^/]+)', 1) AS DATE) AS day, user_uuid FROM raw_transactions) p
+  ON p.day BETWEEN d.day - 6 AND d.day
+GROUP BY 1"""
+)
+
+
 def _restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream run over half of the events, stopped, and started again when the other half is there."""
     configure(spark)
@@ -884,6 +909,7 @@ def entries() -> dict[str, Entry]:
     found["load_log_rows"] = Entry(_load_log, _LOAD_LOG_SQL)
     found["stream_restarted"] = Entry(_restarted, _RESTARTED_SQL)
     found["rt_quality_as_of_now"] = Entry(_quality_now, oracle.stream(plain_sql(_QUALITY_NOW_SQL, _NOW_COLUMNS)))
+    found["distinct_users_of_weeks"] = Entry(_distinct_users, _DISTINCT_USERS_SQL)
     found["lineage_of_tables"] = Entry(_lineage, oracle.batch(_LINEAGE_SQL))
     found["scalar_functions"] = Entry(_scalar_functions, _SCALAR_SQL)
     found["incremental_load"] = Entry(

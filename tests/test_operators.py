@@ -9,6 +9,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerline.operators import bitmaps
 from ledgerline.operators import asof
 from ledgerline.operators.asof import asof_left_join, choose_buckets, next_start
 from ledgerline.operators.checks import Check, CheckFailure, require, run_checks
@@ -220,3 +221,24 @@ def test_hot_buckets_are_salted(spark, monkeypatch):
 
 def test_widths_are_nested():
     assert all(a % b == 0 for a, b in zip(asof.WIDTHS, asof.WIDTHS[1:]))
+
+
+def test_bitmaps_count_exactly_and_merge(spark, rows):
+    """Days that come later get bitmaps of their own; any set of days counts as the keys themselves do."""
+    first = spark.range(4000).selectExpr("date_add(date'2024-01-01', cast(id % 5 as int)) day", "concat('k', id % 900) k")
+    later = spark.range(3000).selectExpr("date_add(date'2024-01-04', cast(id % 4 as int)) day", "concat('k', id % 1300 + 500) k")
+    later = later.unionByName(spark.sql("SELECT date'2024-01-04' day, cast(NULL AS string) k"))
+    numbers = bitmaps.number_keys(first, "k")
+    stored = bitmaps.day_bitmaps(first, "day", "k", numbers)
+    numbers = bitmaps.number_keys(later, "k", numbers)
+    assert numbers.count() == numbers.select("number").distinct().count() == 1800
+    stored = stored.unionByName(bitmaps.day_bitmaps(later, "day", "k", numbers))
+    every = first.unionByName(later)
+    for days in (("2024-01-01", "2024-01-07"), ("2024-01-03", "2024-01-04"), ("2024-01-07", "2024-01-07")):
+        within = F.col("day").between(*days)
+        found = bitmaps.distinct_in(stored.where(within).withColumn("all", F.lit(1)), ["all"], "n").first().n
+        assert found == every.where(within).select("k").where("k IS NOT NULL").distinct().count()
+    assert bitmaps.distinct_in(stored.where("false"), ["day"], "n").count() == 0
+    windows = {r.until.day: r.n for r in bitmaps.sliding(stored, "day", 3, "n").collect()}
+    assert sorted(windows) == [1, 2, 3, 4, 5, 6, 7]
+    assert windows[5] == every.where("day BETWEEN '2024-01-03' AND '2024-01-05' AND k IS NOT NULL").select("k").distinct().count()
