@@ -108,22 +108,15 @@ def _bytes(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 
 
-def _key(doc: int, data: bytes) -> int:
-    """Tells apart rows that repeat an id with other texts."""
-    return _hash64(b"%d:" % doc + data)
-
-
 def _found_segments(docs: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_rows(batches, BATCH):
             texts = [_bytes(t) for t in batch.column("text").to_pylist()]
-            docs_ = batch.column("doc").to_pylist()
             text, lo, hi, at, anchor = segments(texts)
-            keys = [_key(d, t) for d, t in zip(docs_, texts, strict=True)]
             content = [xxhash.xxh3_128_digest(texts[i][a : b + WINDOW]) for i, a, b in zip(text.tolist(), lo.tolist(), hi.tolist(), strict=True)]
             rows = pa.array(text, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc").take(rows), pa.array(keys, pa.int64()).take(rows), *(pa.array(x, pa.int64()) for x in (lo, hi, at, anchor)), pa.array(content, pa.binary())],
+                [batch.column("doc").take(rows), batch.column("key").take(rows), *(pa.array(x, pa.int64()) for x in (lo, hi, at, anchor)), pa.array(content, pa.binary())],
                 names=["doc", "key", "lo", "hi", "at", "anchor", "content"],
             )
 
@@ -135,20 +128,18 @@ def _strings(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
     Block ``first + j`` is ``chars[j]``; windows begin from ``back`` bytes before the anchor to ``back - ahead``.
     """
-    wanted = classes.groupBy("doc").agg(F.collect_list(F.struct("id", "m", "key", "lo", "hi", "at")).alias("wanted"))
+    wanted = classes.groupBy("doc", "key").agg(F.collect_list(F.struct("id", "m", "lo", "hi", "at")).alias("wanted"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_rows(batches, BATCH):
             rows = []
-            for doc, text, own in zip(*(batch.column(c).to_pylist() for c in ("doc", "text", "wanted")), strict=True):
+            for text, own in zip(*(batch.column(c).to_pylist() for c in ("text", "wanted")), strict=True):
                 data = _bytes(text)
-                key = _key(doc, data)
                 for x in own:
-                    if x["key"] == key:
-                        part, back = data[x["lo"] : x["hi"] + WINDOW], x["at"] - x["lo"]
-                        first = -(back // BLOCK)
-                        starts = range(back + BLOCK * first, len(part) - BLOCK + 1, BLOCK)
-                        rows.append((x["id"], x["m"], first, back, x["hi"] - x["lo"], [_hash64(part[s : s + BLOCK]) for s in starts], part))
+                    part, back = data[x["lo"] : x["hi"] + WINDOW], x["at"] - x["lo"]
+                    first = -(back // BLOCK)
+                    starts = range(back + BLOCK * first, len(part) - BLOCK + 1, BLOCK)
+                    rows.append((x["id"], x["m"], first, back, x["hi"] - x["lo"], [_hash64(part[s : s + BLOCK]) for s in starts], part))
             columns = list(zip(*rows, strict=True)) or [()] * 7
             kinds = [pa.int64()] * 5 + [pa.list_(pa.int64()), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names=["id", "m", "first", "back", "ahead", "chars", "data"])
@@ -156,7 +147,7 @@ def _strings(docs: DataFrame, classes: DataFrame) -> DataFrame:
     schema = "id long, m long, first long, back long, ahead long, chars array<long>, data binary"
     wanted = settle(wanted, "wanted-strings")
     with bloom_joins(docs.sparkSession):
-        out = settle(docs.join(selective(wanted, "doc"), "doc").mapInArrow(work, schema), "strings")
+        out = settle(docs.join(selective(wanted, "key"), ["doc", "key"]).mapInArrow(work, schema), "strings")
     drop_settled(wanted)
     # rows that repeat a whole document give its strings again
     return out if out.count() == classes.count() else settle(out.dropDuplicates(["id"]), "strings")
@@ -342,15 +333,15 @@ def _repeated(sides: DataFrame) -> DataFrame:
     rows, found = sides.withColumn("done", F.lit(False)), None
     for width in WIDTHS:
         cells = settle(_cells(rows, width), "cells")
-        twice = cells.groupBy("whole").agg(F.sum("m").alias("n")).where("n > 1").select("whole", F.lit(True).alias("met"))
-        met = cells.join(settle(twice, "met"), "whole", "left").withColumn("met", F.coalesce("met", F.lit(False)))
+        twice = cells.groupBy("g", "whole").agg(F.sum("m").alias("n")).where("n > 1").select("g", "whole", F.lit(True).alias("met"))
+        met = cells.join(settle(twice, "met"), ["g", "whole"], "left").withColumn("met", F.coalesce("met", F.lit(False)))
         marked = settle(met, "marked")
         drop_settled(cells)
         done = marked.where("met AND NOT done").select("id", (F.col("at") - F.col("hi")).alias("start"), (F.col("at") - F.col("lo") + WINDOW).alias("end"))
         found = done if found is None else found.union(done)
         if width > 1:
-            alike = marked.groupBy("core").agg(F.sum("m").alias("n"), F.bool_and(F.col("met")).alias("met")).where("n > 1 AND NOT met").select("core")
-            rest = marked.join(alike, "core", "left_semi")
+            alike = marked.groupBy("g", "core").agg(F.sum("m").alias("n"), F.bool_and(F.col("met")).alias("met")).where("n > 1 AND NOT met").select("g", "core")
+            rest = marked.join(alike, ["g", "core"], "left_semi")
             rows = rest.select("g", "id", "at", "m", "lo", "hi", "left", "right", (F.col("done") | F.col("met")).alias("done"))
     return found
 
@@ -384,10 +375,12 @@ def dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
     ``spans`` are the maximal removed runs (start, end exclusive) in the text's UTF-8 bytes. A null text counts as
     empty; texts shorter than a window lose nothing. Windows never reach from one document into another, and what
     repeats is judged on the input. Each row is a document, whatever its id: rows that repeat an id and text are
-    copies of each other. Rows with a null id share one number; their texts tell them apart.
+    copies of each other. Rows are named by id and a hash of id and text, so those without an id, or with the same
+    one, are told apart by their texts.
     """
-    given = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc"), "text")
-    own = given.select("doc", "text")
+    named = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc"), "text")
+    given = named.withColumn("key", F.xxhash64("doc", "text"))
+    own = given.select("doc", "key", "text")
     found = settle(_found_segments(own), "segments")
     anchors = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
     anchors = settle(anchors, "anchors")
@@ -405,17 +398,17 @@ def dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
     repeated = settle(repeated.mapInArrow(_joined_spans, repeated.schema), "repeated")
     drop_settled(strings, sides)
     placed = shared.select("doc", "key", "lo", "content").join(repeated, "content")
-    placed = placed.select("doc", F.struct("key", F.transform("spans", lambda s: F.struct((s["start"] + F.col("lo")).alias("start"), (s["end"] + F.col("lo")).alias("end"))).alias("spans")).alias("hit"))
-    hits = placed.groupBy("doc").agg(F.collect_list("hit").alias("hits"))
+    moved = F.transform("spans", lambda s: F.struct((s["start"] + F.col("lo")).alias("start"), (s["end"] + F.col("lo")).alias("end")))
+    # equal rows give equal hits, which are one
+    hits = placed.select("doc", "key", moved.alias("hit")).groupBy("doc", "key").agg(F.collect_set("hit").alias("hits"))
     doc_type = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_rows(batches, BATCH):
             sizes, spans, digests, kept = [], [], [], []
-            for doc, text, hits_ in zip(*(batch.column(c).to_pylist() for c in ("doc", "text", "hits")), strict=True):
+            for text, hits_ in zip(*(batch.column(c).to_pylist() for c in ("text", "hits")), strict=True):
                 data = _bytes(text)
-                key = _key(doc, data) if hits_ else None
-                merged = _merged([(s["start"], s["end"]) for h in hits_ or () if h["key"] == key for s in h["spans"]])
+                merged = _merged([(s["start"], s["end"]) for h in hits_ or () for s in h])
                 cuts = [0, *(x for s in merged for x in s), len(data)]
                 rest = b"".join(data[a:b] for a, b in zip(cuts[::2], cuts[1::2], strict=True))
                 sizes.append(len(data))
@@ -427,4 +420,4 @@ def dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*out, *([pa.array(kept, pa.binary())] if with_text else [])], names=names + ["kept"] * with_text)
 
     schema = f"doc_id {doc_type}, n_bytes long, spans array<struct<start:long,end:long>>, kept_sha256 string" + ", kept binary" * with_text
-    return given.join(hits, "doc", "left").select("doc_id", "doc", "text", "hits").mapInArrow(work, schema)
+    return given.join(hits, ["doc", "key"], "left").select("doc_id", "text", "hits").mapInArrow(work, schema)

@@ -54,6 +54,17 @@ def test_equals_brute_force(docs_of, seed):
     assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in got)
 
 
+def test_many_rows_without_an_id(docs_of):
+    """Rows of no id are named by their texts, so no group holds them all; many equal rows are one there."""
+    rng = random.Random(7)
+    base = ["".join(rng.choices("abcdefgh ", k=600)) for _ in range(900)]
+    rows = [(None, t) for t in base] + [(None, "x" * 50 + t) for t in base] + [(None, base[0])] * 200
+    with_ids = [(i, t) for i, (_, t) in enumerate(rows)]
+    results = [suffix.dedup(docs_of(*given)).collect() for given in (rows, with_ids)]
+    plain = [sorted((r.n_bytes, [(s.start, s.end) for s in r.spans], r.kept_sha256) for r in found) for found in results]
+    assert plain[0] == plain[1] and all(spans for _, spans, _ in plain[0])
+
+
 def test_pieces_of_a_long_text(docs_of, monkeypatch):
     monkeypatch.setattr(suffix, "PIECE", 700)
     rows = texts(5)
