@@ -27,10 +27,12 @@ def remainder_of(doc_id: int | None, by: int) -> int:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % by
 
 
-def drop_settled(*frames: DataFrame) -> None:
-    """Delete the folders of settled tables that no later frame reads."""
+def drop_settled(*frames: DataFrame, kind: str | None = None) -> None:
+    """Delete the folders of settled tables that no later frame reads; of tables settled by kind, one kind's if given."""
     for frame in frames:
         for folder in {f.rsplit("/", 1)[0] for f in frame.inputFiles()}:
+            if kind is not None and not folder.endswith(f"/kind={kind}"):
+                continue
             jvm = frame.sparkSession._jvm
             path = jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(frame.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,30 +1,34 @@
 """Language-model scoring by a hierarchical Pitman-Yor model.
 
-Each context has a restaurant whose customers are the tokens seen after it; tables serve words. All context
+Each preceding word has a restaurant whose customers are the tokens seen after it; tables serve words. All these context
 restaurants share one parent, the word restaurant: every table of theirs is a customer there; its own tables draw
-from a uniform base over the known words and one unknown. A context is the class of the token before (short words
-by themselves, longer ones by their ending, hashed into ``CONTEXTS`` classes; the start of a text is one).
-
-Seating is sampled in blocks: in a sweep all customers of an entry leave and are seated again at once. Only the
-number of tables matters to a prediction, so that is what is kept. It is proposed by seating all customers in turn in
-a restaurant of one dish, jumping from each new table to the next (the wait is geometric with a beta-distributed
-chance, so the work grows with the tables, not with the customers), and accepted by the rule of Metropolis and
-Hastings, which leaves the model's distribution of table numbers as it is. Passes go on until the sums of tables
-settle; the probability of a word is averaged over the samples that follow.
-
-In Spark, counts and seatings lie one row per word, with all its context entries, so that everything a word's
-seating needs is in its row; the only quantities shared between rows are the numbers of customers and tables of each
-context, which are summed up between passes and are the same for all rows during one (as in other distributed
-samplers). A row has at most ``CONTEXTS`` entries, whatever the corpus.
-
-Scoring reads each text once. The most common words (a fixed number) are scored in place from a table of fixed
-size; all other tokens are joined with the model by word.
+from a uniform base over the known words and one unknown. The start of a text is a context too.
+
+Seating is sampled by Gibbs in blocks: all customers of an entry (a word in a context) leave and sit down again at
+once. Only the number of tables matters to a prediction, so that is what is kept. For up to ``SMALL`` customers it is drawn
+from its exact distribution; for more it is proposed by seating them in turn in a restaurant of one dish, jumping
+from each new table to the next, and accepted by the rule of Metropolis and Hastings. There is a fixed number of passes:
+``STARTS`` to leave the first seating, ``BURN_IN``, and ``SAMPLES`` whose predictive probabilities are averaged.
+
+In Spark, the entries lie in buckets of some ``BUCKET_TOKENS`` tokens, by context; the contexts of frequent words are
+split over buckets by word. A pass seats the entries of each bucket, and sends the tables of each word to the word's own
+bucket (one shuffle), which seats the parent restaurant and sends its numbers back (another). The rows of these
+shuffles are packed arrays, one from each bucket to each other that it shares words with, so they are never more
+than the words they carry. What the driver sees of a pass are sums, and the totals of split contexts, which are among the
+``COMMON`` most frequent words.
+
+Texts are read twice: to count words, and to turn runs of documents (chunks) into numbered pairs of a context and a word.
+A chunk's distinct pairs go to the buckets, with their numbers in rows to learn from; pairs of rows that are held
+out only are asked for and count nothing. In the end each bucket answers each chunk, and a chunk adds up the answers of its
+documents. Rows are scored one by one, whatever their ids, so null and repeated ids and equal rows need no care; a null
+text counts as empty and has its end alone. Without rows to learn from no word is known, and any token has the
+probability 1, the uniform share of the unknown one.
 """
 
 from __future__ import annotations
 
-import functools
-import zlib
+import json
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -35,31 +39,66 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerline.llm.common import arrow_rows, drop_settled, settle
 
-CONTEXTS = 128
-COMMON = 1 << 15
-BURN_IN, SAMPLES, SWEEPS = 1, 2, 3
+COMMON = 1 << 16
+STARTS, BURN_IN, SAMPLES = 2, 1, 5
+START_SWEEPS = 2
 STRENGTH = 1.0
+SMALL = 12
 BATCH = 256
 CHUNK_TOKENS = 1 << 21
-STATE_ROWS = 50_000
-_CACHED = 200_000
+BUCKET_TOKENS = 1 << 20
+_MESSAGE = "kind string, bucket long, sender string, data binary, code long, v array<double>"
+_NAMES = ["kind", "bucket", "sender", "data", "code", "v"]
 
 
-class Vocabulary(dict):
-    """Numbers for words as they are met, and arrays of their hashes and context classes."""
+# Packed arrays
+
+
+def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays as one block; bytes of equal weight lie side by side, so that small numbers take little."""
+    head = json.dumps([(a.dtype.str, len(a)) for a in arrays]).encode()
+    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes() for a in arrays]
+    return len(head).to_bytes(4, "little") + head + pa.Codec("zstd", 1).compress(b"".join(planes), asbytes=True)
+
+
+def _unpack(block: bytes) -> list[np.ndarray]:
+    cut = 4 + int.from_bytes(block[:4], "little")
+    kinds = [(np.dtype(kind), n) for kind, n in json.loads(block[4:cut])]
+    raw = np.frombuffer(pa.Codec("zstd").decompress(block[cut:], sum(k.itemsize * n for k, n in kinds), asbytes=True), np.uint8)
+    out, at = [], 0
+    for kind, n in kinds:
+        size = kind.itemsize * n
+        out.append(np.ascontiguousarray(raw[at : at + size].reshape(kind.itemsize, n).T).view(kind).reshape(n))
+        at += size
+    return out
+
+
+def _steps(sorted_numbers: np.ndarray) -> np.ndarray:
+    return np.diff(sorted_numbers, prepend=0).astype(np.int32)
 
-    def __init__(self):
-        super().__init__()
-        self.hashes, self.classes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+
+def _messages(rows: list[tuple]) -> pa.Table:
+    """Rows of (kind, bucket, sender, data, code, v)."""
+    kinds = [pa.string(), pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.list_(pa.float64())]
+    columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
+    return pa.Table.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=_NAMES)
+
+
+def _mixed(codes: np.ndarray) -> np.ndarray:
+    x = codes.astype(np.uint64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+# Words and pairs
+
+
+class Vocabulary(dict):
+    """Numbers for words as they are met."""
 
     def __missing__(self, word: bytes) -> int:
-        n = len(self)
-        if n == len(self.hashes):
-            self.hashes, self.classes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.hashes, self.classes))
-        self[word] = n
-        hashed = xxhash.xxh3_64_intdigest(word)
-        self.hashes[n] = hashed - (1 << 64) if hashed >> 63 else hashed
-        self.classes[n] = zlib.crc32(word if len(word) <= 4 else b"-" + word[-3:]) % (CONTEXTS - 1) + 1
+        self[word] = n = len(self)
         return n
 
     def tokens(self, text: str | None) -> np.ndarray:
@@ -68,79 +107,148 @@ class Vocabulary(dict):
         words.append(b"")
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
+    def hashes(self) -> np.ndarray:
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, self), np.uint64, len(self)).view(np.int64)
 
-@functools.lru_cache(maxsize=1)
-def _vocabulary(_: int) -> Vocabulary:
-    return Vocabulary()
 
+def count_words(docs: DataFrame) -> DataFrame:
+    """(h, n): each word's hash and its tokens."""
 
-def _known() -> Vocabulary:
-    found = _vocabulary(0)
-    if len(found) > _CACHED:
-        _vocabulary.cache_clear()
-        found = _vocabulary(0)
-    return found
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, held, size = Vocabulary(), [], 0
 
+        def counted() -> pa.RecordBatch:
+            n = np.bincount(np.concatenate(held), minlength=len(known))
+            return pa.RecordBatch.from_arrays([pa.array(known.hashes()), pa.array(n.astype(np.int64))], names=["h", "n"])
 
-def _contexts(classes: np.ndarray) -> np.ndarray:
-    return np.concatenate([[0], classes[:-1]])
+        for batch in arrow_rows(batches, BATCH):
+            for text in batch.column("text").to_pylist():
+                held.append(known.tokens(text))
+                size += len(held[-1])
+                if size >= CHUNK_TOKENS:
+                    yield counted()
+                    known, held, size = Vocabulary(), [], 0
+        if held:
+            yield counted()
 
+    return docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
-def count_words(docs: DataFrame) -> DataFrame:
-    """(h, n, context, count): each word's hash, its tokens, and its tokens by context, as arrays."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+@dataclass(frozen=True)
+class Words:
+    """The common words' hashes (sorted) and over how many buckets each one's context is split; how many buckets; sums."""
+
+    common: np.ndarray
+    parts: np.ndarray
+    buckets: int
+    tokens: int
+    words: int
+
+    def codes(self, hashes: np.ndarray) -> np.ndarray:
+        """A common word's place, a negative hash for any other."""
+        at = np.minimum(np.searchsorted(self.common, hashes), max(0, len(self.common) - 1))
+        found = self.common[at] == hashes if len(self.common) else np.zeros(len(hashes), bool)
+        return np.where(found, at, hashes | np.int64(-(2**63)))
+
+    def parts_of(self, contexts: np.ndarray) -> np.ndarray:
+        out = np.ones(len(contexts), np.int64)
+        common = contexts >= 0
+        out[common] = self.parts[contexts[common]]
+        return out
+
+    def home(self, codes: np.ndarray) -> np.ndarray:
+        """The bucket of a word."""
+        return (_mixed(codes) % np.uint64(self.buckets)).astype(np.int64)
+
+    def bucket(self, contexts: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The bucket of a pair: that of its context, or one of those that a frequent context is split over."""
+        part = _mixed(codes ^ np.int64(0x5BD1E995)) % self.parts_of(contexts).astype(np.uint64)
+        return ((_mixed(contexts) % np.uint64(self.buckets) + part) % np.uint64(self.buckets)).astype(np.int64)
+
+
+def _words(docs: DataFrame) -> Words:
+    counted = settle(count_words(docs), "lm-words")
+    sums = counted.agg(F.count("*").alias("words"), F.sum("n").alias("tokens")).first()
+    top = counted.orderBy(F.desc("n"), "h").limit(COMMON).toArrow()
+    drop_settled(counted)
+    order = np.argsort(np.asarray(top.column("h")))
+    n = np.asarray(top.column("n"))[order]
+    tokens = sums["tokens"] or 0
+    return Words(np.asarray(top.column("h"))[order], n // (BUCKET_TOKENS // 2) + 1, tokens // BUCKET_TOKENS + 1, tokens, sums["words"])
+
+
+def _pairs(docs: DataFrame, words: Words) -> DataFrame:
+    """Rows of chunks (their documents, and each token's place among the chunk's pairs) and of the pairs they send."""
+    doc_type = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"{_MESSAGE}, ids array<{doc_type}>, held array<boolean>"
+
+    def chunk(known: Vocabulary, held: list[np.ndarray], ids: list[pa.Array], flags: list[pa.Array]) -> pa.RecordBatch:
+        numbers, lengths = np.concatenate(held), np.array([len(x) for x in held])
+        before = np.empty_like(numbers)
+        before[1:] = numbers[:-1]
+        before[np.cumsum(lengths) - lengths] = known[b""]
+        learnt = np.repeat(~np.asarray(pa.concat_arrays(flags).to_numpy(zero_copy_only=False), bool), lengths)
+        size = len(known)
+        pairs, place = np.unique(before * size + numbers, return_inverse=True)
+        n = np.bincount(place[learnt], minlength=len(pairs))
+        codes = words.codes(known.hashes())
+        g, h = codes[pairs // size], codes[pairs % size]
+        bucket = words.bucket(g, h)
+        order = np.lexsort((h, g, bucket))
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        name = uuid.uuid4().hex
+        rows = [("chunk", 0, name, _pack(lengths.astype(np.int32), rank[place]), None, None)]
+        starts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+        for at in np.split(order, starts[1:]):
+            rows.append(("pairs", int(bucket[at[0]]), name, _pack(g[at], h[at], n[at].astype(np.int32)), None, None))
+        columns = _messages(rows).columns
+        kinds = [pa.list_(ids[0].type), pa.list_(pa.bool_())]
+        for parts, kind in zip((ids, flags), kinds, strict=True):
+            flat = pa.concat_arrays(parts)
+            offsets = np.full(len(rows) + 1, len(flat), np.int32)
+            offsets[0] = 0
+            columns.append(pa.ListArray.from_arrays(pa.array(offsets), flat).cast(kind))
+        return pa.Table.from_arrays(columns, names=[*_NAMES, "ids", "held"]).combine_chunks().to_batches()[0]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, held, ids, flags, size = Vocabulary({b"": 0}), [], [], [], 0
         for batch in arrow_rows(batches, BATCH):
-            words = _known()
-            for text in batch.column("text").to_pylist():
-                numbers = words.tokens(text)
-                held.append((words.hashes[numbers], _contexts(words.classes[numbers])))
-                size += len(numbers)
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                held.append(known.tokens(text))
+                ids.append(batch.column("doc_id").slice(i, 1))
+                flags.append(batch.column("held_out").slice(i, 1))
+                size += len(held[-1])
                 if size >= CHUNK_TOKENS:
-                    yield _pairs_counted(held)
-                    held, size = [], 0
+                    yield chunk(known, held, ids, flags)
+                    known, held, ids, flags, size = Vocabulary({b"": 0}), [], [], [], 0
         if held:
-            yield _pairs_counted(held)
+            yield chunk(known, held, ids, flags)
 
-    pairs = docs.select("text").mapInArrow(count, "h long, context short, n long")
-    # dealt out by word alone, which serves both aggregates
-    each = pairs.repartition("h").groupBy("h", "context").agg(F.sum("n").alias("n"))
-    entries = F.array_sort(F.collect_list(F.struct("context", "n")))
-    words = each.groupBy("h").agg(F.sum("n").alias("n"), entries.alias("e"))
-    return words.select("h", "n", F.col("e.context").alias("context"), F.col("e.n").alias("count"))
+    return docs.select("doc_id", "text", "held_out").mapInArrow(work, schema)
 
 
-def _pairs_counted(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    hashes, contexts = (np.concatenate(x) for x in zip(*held, strict=True))
-    order = np.lexsort((contexts, hashes))
-    hashes, contexts = hashes[order], contexts[order]
-    new = np.ones(len(hashes), bool)
-    new[1:] = (hashes[1:] != hashes[:-1]) | (contexts[1:] != contexts[:-1])
-    at = np.flatnonzero(new)
-    return pa.RecordBatch.from_arrays([pa.array(hashes[at]), pa.array(contexts[at].astype(np.int16)), pa.array(np.diff(np.append(at, len(hashes))))], names=["h", "context", "n"])
+# Seating
 
 
 @dataclass(frozen=True)
 class Totals:
-    """What all restaurants share: customers and tables of each context and of the parent, discounts, known words."""
+    """What all restaurants share: customers and tables of the parent, discounts, known words, totals of split contexts."""
 
-    customers: np.ndarray
-    tables: np.ndarray
     parent_customers: int
     parent_tables: int
     discount: float
     parent_discount: float
     words: int
+    split: np.ndarray  # (code, customers, tables), by code
+
+    def free(self) -> float:
+        """The weight of any one word at a new table of the parent."""
+        return (STRENGTH + self.parent_discount * self.parent_tables) / (self.words + 1)
 
     def parent(self, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
         """The parent's probability of words with so many customers and tables."""
-        free = STRENGTH + self.parent_discount * self.parent_tables
-        return (customers - self.parent_discount * tables + free / (self.words + 1)) / (STRENGTH + self.parent_customers)
-
-    def backoff(self) -> np.ndarray:
-        """Each context's weight of the parent."""
-        return (STRENGTH + self.discount * self.tables) / (STRENGTH + self.customers)
+        return (customers - self.parent_discount * tables + self.free()) / (STRENGTH + self.parent_customers)
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -184,242 +292,337 @@ def _like_strength(count: np.ndarray, room: np.ndarray, p: Callable[[np.ndarray]
     return np.maximum((low + high) / 2, -1.0 + 1e-6)
 
 
+def _log_seatings(discount: float) -> np.ndarray:
+    """[n, t]: log of the weight of all ways to seat n customers at t tables (generalised Stirling numbers)."""
+    ways = np.zeros((SMALL + 1, SMALL + 1))
+    ways[1, 1] = 1.0
+    for n in range(1, SMALL):
+        for t in range(1, n + 2):
+            ways[n + 1, t] = ways[n, t - 1] + (n - discount * t) * ways[n, t]
+    with np.errstate(divide="ignore"):
+        return np.log(ways)
+
+
 def _reseated(tables: np.ndarray, count: np.ndarray, room: np.ndarray, slope: np.ndarray, rest: np.ndarray | None, discount: float, rng: np.random.Generator, start: bool) -> np.ndarray:
-    """The tables of each entry after all its customers left and sat down again.
+    """The tables of each entry (of two customers or more) after all its customers left and sat down again.
 
     ``room`` is the restaurant's other tables and its strength in tables. The parent's probability is
     ``slope * (rest + t)`` beside ``t`` tables of this entry, or ``slope`` without ``rest``. At the ``start``, while
-    the sums still move, what is proposed is taken as it is.
+    the sums still move, what is proposed for large entries is taken as it is; so it is where the seating before is
+    none of so many customers.
     """
+    out, ways = tables.astype(np.int64), _log_seatings(discount)
+    for n in range(2, SMALL + 1):
+        at = np.flatnonzero(count == n)
+        if len(at):
+            i = np.arange(n)
+            each = np.log(discount * (room[at, None] + i)) + np.log(slope[at, None])
+            each += 0 if rest is None else np.log(rest[at, None] + i)
+            weight = np.cumsum(each, axis=1) + ways[n, 1 : n + 1]
+            grown = np.cumsum(np.exp(weight - weight.max(axis=1, keepdims=True)), axis=1)
+            out[at] = 1 + (grown[:, :-1] < (rng.random(len(at)) * grown[:, -1])[:, None]).sum(axis=1)
+    at = np.flatnonzero(count > SMALL)
+    if not len(at):
+        return out
+    tables, count, room, slope, rest = out[at], count[at], room[at], slope[at], None if rest is None else rest[at]
     p = (lambda t: slope) if rest is None else (lambda t: slope * (rest + t))
     like = _like_strength(count, room, p, discount)
     proposed = _drawn_tables(count, discount * like, discount, rng)
-    if start:
-        return proposed
-
-    def weight(t: np.ndarray) -> np.ndarray:
-        """Log of the wanted probability of ``t`` tables to the proposed one; Stirling numbers cancel."""
-        out = _log_gamma(room + t) - _log_gamma(like + t) + t * np.log(slope)
-        return out if rest is None else out + _log_gamma(rest + t)
-
-    taken = -rng.exponential(size=len(count)) < weight(proposed) - weight(tables)
-    return np.where(taken, proposed, tables)
-
 
-def _sweep(tables: np.ndarray, parents: np.ndarray, word: np.ndarray, count: np.ndarray, room: np.ndarray, parent_room: np.ndarray, totals: Totals, rng: np.random.Generator, start: bool) -> tuple[np.ndarray, np.ndarray]:
-    """All customers of each entry are seated anew, then those of each word in the parent restaurant.
-
-    Entries of a word are seated side by side, each beside the others' tables before the sweep.
-    """
-    base = 1.0 / (totals.words + 1)
-    before = np.bincount(word, weights=tables, minlength=len(parents))
-    at = np.flatnonzero(count > 1)
-    if len(at):
-        # a customer of the parent counts as one less its share of the discounts of the word's tables there
-        kept = (1.0 - totals.parent_discount * parents / np.maximum(before, 1))[word[at]]
-        free = (STRENGTH + totals.parent_discount * totals.parent_tables) * base
+    def weight_of(t: np.ndarray) -> np.ndarray:
+        """Log of the wanted probability of ``t`` tables to the proposed one; the ways to seat them cancel."""
+        found = _log_gamma(room + t) - _log_gamma(like + t) + t * np.log(slope)
+        return found if rest is None else found + _log_gamma(rest + t)
+
+    taken = -rng.exponential(size=len(count)) < weight_of(proposed) - weight_of(tables)
+    out[at] = np.where(taken | start | (tables > count), proposed, tables)
+    return out
+
+
+@dataclass
+class Rooms:
+    """The entries of a bucket: their context's and word's place, customers; words go by home, then code."""
+
+    contexts: np.ndarray
+    context: np.ndarray
+    codes: np.ndarray
+    word: np.ndarray
+    count: np.ndarray
+
+    @staticmethod
+    def of(block: bytes) -> Rooms:
+        contexts, steps, codes, word, count = _unpack(block)
+        return Rooms(contexts, np.cumsum(steps), codes, word.astype(np.int64), count.astype(np.int64))
+
+    def packed(self) -> bytes:
+        return _pack(self.contexts, _steps(self.context), self.codes, self.word.astype(np.int32), self.count.astype(np.int32))
+
+    def customers(self) -> np.ndarray:
+        return np.bincount(self.context, weights=self.count, minlength=len(self.contexts))
+
+    def all_tables(self, several: np.ndarray) -> np.ndarray:
+        """The tables of each entry: one for a single customer, ``several`` for those of more."""
+        tables = np.minimum(self.count, 1)
+        tables[self.count > 1] = several
+        return tables
+
+    def totals(self, tables: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Customers and tables of each context, those of split ones being the sums over all buckets."""
+        customers, of_context = self.customers(), np.bincount(self.context, weights=tables, minlength=len(self.contexts))
+        if len(shared):
+            at = np.minimum(np.searchsorted(shared[:, 0], self.contexts), len(shared) - 1)
+            split = shared[at, 0] == self.contexts
+            customers[split], of_context[split] = shared[at[split], 1], shared[at[split], 2]
+        return customers, of_context
+
+    def report(self, name: str, tables: np.ndarray, words: Words) -> list[tuple]:
+        """What the homes of words are told: tokens, contexts and tables of each word here, and totals of split contexts."""
+        size = len(self.codes)
+        sums = [np.bincount(self.word, weights=w, minlength=size).astype(np.int64) for w in (self.count, self.count > 0, tables)]
+        home = words.home(self.codes)
+        split = np.flatnonzero(words.parts_of(self.contexts) > 1)
+        at_home = words.home(self.contexts[split])
+        customers = self.customers().astype(np.int64)
+        of_context = np.bincount(self.context, weights=tables, minlength=len(self.contexts)).astype(np.int64)
+        rows = []
+        for to in np.union1d(home, at_home):
+            a, b = np.searchsorted(home, (to, to + 1))
+            own = split[at_home == to]
+            data = _pack(self.codes[a:b], *(s[a:b] for s in sums), self.contexts[own], customers[own], of_context[own])
+            rows.append(("up", int(to), name, data, None, None))
+        return rows
+
+
+def _grouped(rows: DataFrame, buckets: int, work: Callable[[pa.Table], pa.Table], schema: str, by: str = "bucket") -> DataFrame:
+    tasks = max(-(-buckets // 4), min(buckets, rows.sparkSession.sparkContext.defaultParallelism))
+    return rows.repartition(tasks, by).groupBy(by).applyInArrow(work, schema)
+
+
+def _of_kind(table: pa.Table, kind: str) -> list[tuple[str, bytes]]:
+    """(sender, data) of the rows of a kind, by sender; senders are buckets or chunks."""
+    sender, data = table.column("sender"), table.column("data")
+    found = [(sender[i].as_py(), data[i].as_py()) for i, k in enumerate(table.column("kind").to_pylist()) if k == kind]
+    return sorted(found, key=lambda x: (len(x[0]), x[0]))
+
+
+def _gathered(pairs: DataFrame, words: Words) -> DataFrame:
+    """The buckets' rooms, what each chunk asked of them, the first reports, and sums of entries of one and two customers."""
+
+    def work(table: pa.Table) -> pa.Table:
+        bucket, asked = table.column("bucket")[0].as_py(), _of_kind(table, "pairs")
+        g, h, n = (np.concatenate(x) for x in zip(*(_unpack(d) for _, d in asked), strict=True))
+        order = np.lexsort((h, g))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(g[order]) != 0) | (np.diff(h[order]) != 0)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.cumsum(new) - 1
+        first = order[new]
+        contexts, context = np.unique(g[first], return_inverse=True)
+        codes, word = np.unique(h[first], return_inverse=True)
+        by_home = np.lexsort((codes, words.home(codes)))
+        moved = np.empty(len(codes), np.int64)
+        moved[by_home] = np.arange(len(codes))
+        rooms = Rooms(contexts, context, codes[by_home], moved[word], np.bincount(place, weights=n).astype(np.int64))
+        rows = [("rooms", bucket, "", rooms.packed(), None, None)]
+        at = 0
+        for name, data in asked:
+            size = json.loads(data[4 : 4 + int.from_bytes(data[:4], "little")])[0][1]
+            rows.append(("asked", bucket, name, _pack(_steps(place[at : at + size])), None, None))
+            at += size
+        ones = [float((rooms.count == i).sum()) for i in (1, 2)]
+        rows.append(("sums", bucket, "", None, None, ones))
+        return _messages(rows + rooms.report(str(bucket), np.minimum(rooms.count, 1), words))
+
+    return _grouped(pairs, words.buckets, work, _MESSAGE)
+
+
+def _numbers_back(rooms: Rooms, table: pa.Table, words: Words) -> list[np.ndarray]:
+    """The arrays sent by the homes, which are in the order of the rooms' words."""
+    return [np.concatenate(x) for x in zip(*(_unpack(d) for _, d in _of_kind(table, "down")), strict=True)]
+
+
+def _seated(rows: DataFrame, words: Words, totals: Totals, number: int, start: bool, sample: bool) -> DataFrame:
+    """A pass over the context restaurants; a ``sample`` first notes the seating that the words' numbers belong to."""
+
+    def work(table: pa.Table) -> pa.Table:
+        bucket = table.column("bucket")[0].as_py()
+        rooms = Rooms.of(_of_kind(table, "rooms")[0][1])
+        at = np.flatnonzero(rooms.count > 1)
+        held = _of_kind(table, "seats")
+        several, *noted = _unpack(held[0][1]) if held else [np.ones(len(at), np.int32)]
+        noted += [several] if sample else []
+        _, customers, parents = _numbers_back(rooms, table, words)
+        rng = np.random.default_rng([number, bucket])
+        of_word, of_context = rooms.word[at], rooms.context[at]
+        kept = 1.0 - totals.parent_discount * parents[of_word] / np.maximum(customers[of_word], 1)
+        rest = customers[of_word] - several + totals.free() / kept
         slope = kept / (STRENGTH + totals.parent_customers)
-        rest = before[word[at]] - tables[at] + free / kept
-        tables = tables.copy()
-        tables[at] = _reseated(tables[at], count[at], room[at], slope, rest, totals.discount, rng, start)
-    after = np.bincount(word, weights=tables, minlength=len(parents)).astype(np.int64)
-    parents = np.minimum(parents, after)
-    at = np.flatnonzero(after > 1)
-    if len(at):
-        parents[at] = _reseated(parents[at], after[at], parent_room[at], np.full(len(at), base), None, totals.parent_discount, rng, start)
-    return tables, np.where(after == 1, 1, parents)
-
+        tables = rooms.all_tables(several)
+        here = np.bincount(rooms.context, weights=tables, minlength=len(rooms.contexts))
+        elsewhere = rooms.totals(tables, totals.split)[1] - here
+        for _ in range(START_SWEEPS if start else 1):
+            in_room = elsewhere + np.bincount(rooms.context, weights=tables, minlength=len(rooms.contexts))
+            room = in_room[of_context] - tables[at] + STRENGTH / totals.discount
+            tables[at] = _reseated(tables[at], rooms.count[at], room, slope, rest, totals.discount, rng, start)
+        data = _pack(tables[at].astype(np.int32), *noted)
+        return _messages([("seats", bucket, "", data, None, None), *rooms.report(str(bucket), tables, words)])
 
-_STATE = "h long, n long, context array<short>, count array<long>, tables array<long>, parent long, seen array<double>, parent_customers array<long>, parent_tables array<long>"
+    return _grouped(rows, words.buckets, work, _MESSAGE)
 
 
-def _start(counts: DataFrame) -> DataFrame:
-    """One table for each entry, one parent table for each word."""
-    none = F.array().cast("array<long>")
-    return counts.select(
-        "h", "n", "context", "count", F.transform("count", lambda c: F.lit(1).cast("long")).alias("tables"),
-        F.lit(1).cast("long").alias("parent"), F.transform("count", lambda c: F.lit(0.0)).alias("seen"),
-        none.alias("parent_customers"), none.alias("parent_tables"),
-    )
+def _parents(rows: DataFrame, words: Words, totals: Totals | None, number: int, start: bool, sample: bool, last: bool) -> DataFrame:
+    """A pass over the word restaurant: customers are added up, seated, and the numbers of each word sent back.
 
+    Without totals every word has one table. A ``sample`` is noted; the ``last`` pass sends all that were.
+    """
 
-def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(row of each value, values) of a list column."""
-    lengths = np.asarray(column.value_lengths().fill_null(0))
-    return np.repeat(np.arange(len(column)), lengths), np.asarray(column.flatten())
-
-
-def _listed(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), pa.array(values, kind))
-
-
-def _longer(column: pa.Array, new: np.ndarray) -> pa.Array:
-    """Lists of equal length with one more number each."""
-    old = np.asarray(column.flatten()).reshape(len(column), -1)
-    out = np.concatenate([old, new[:, None]], axis=1).astype(np.int64)
-    return _listed(out.ravel(), np.full(len(column), out.shape[1]), pa.int64())
-
-
-def _pass(state: DataFrame, totals: Totals, number: int, start: bool, sample: bool) -> DataFrame:
-    """``SWEEPS`` sweeps over all rows (three times as many at the start); a sample adds each entry's own share and notes the parent's seating."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrow_rows(batches, STATE_ROWS):
-            c = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            word, context = _flat(c["context"])
-            count, tables = _flat(c["count"])[1], _flat(c["tables"])[1]
-            parents = np.asarray(c["parent"])
-            # the tables of the others, which are held fixed during a pass
-            room = totals.tables[context] - tables + STRENGTH / totals.discount
-            parent_room = totals.parent_tables - parents + STRENGTH / totals.parent_discount
-            rng = np.random.default_rng([number, int(np.asarray(c["h"])[0]) & 0xFFFFFFFF])
-            for _ in range(3 * SWEEPS if start else SWEEPS):
-                tables, parents = _sweep(tables, parents, word, count, room, parent_room, totals, rng, start)
-            of_word = np.bincount(word, minlength=batch.num_rows)
-            seen = _flat(c["seen"])[1]
-            noted = [c["parent_customers"], c["parent_tables"]]
-            if sample:
-                seen = seen + (count - totals.discount * tables) / (STRENGTH + totals.customers[context])
-                sums = [np.bincount(word, weights=tables, minlength=batch.num_rows), parents]
-                noted = [_longer(column, new) for column, new in zip(noted, sums, strict=True)]
-            out = [c["h"], c["n"], c["context"], c["count"], _listed(tables, of_word, pa.int64()), pa.array(parents, pa.int64()), _listed(seen, of_word, pa.float64()), *noted]
-            yield pa.RecordBatch.from_arrays(out, names=batch.schema.names)
-
-    return state.mapInArrow(work, _STATE)
-
-
-def _totals(state: DataFrame, discounts: tuple[float, float] | None = None) -> Totals:
-    """Sums over all rows, one row per context; discounts from how many dishes have one and two customers."""
-    each = state.select(F.explode(F.arrays_zip("context", "count", "tables")).alias("e"), F.lit(1).alias("one"))
-    rows = each.groupBy("e.context").agg(F.sum("e.count").alias("c"), F.sum("e.tables").alias("t"), F.count_if(F.col("e.count") == 1).alias("n1"), F.count_if(F.col("e.count") == 2).alias("n2")).collect()
-    parent = state.agg(F.count("*").alias("words"), F.sum("parent").alias("t"), F.count_if(F.size("count") == 1).alias("n1"), F.count_if(F.size("count") == 2).alias("n2")).first()
-    customers, tables = np.zeros(CONTEXTS), np.zeros(CONTEXTS)
-    for r in rows:
-        customers[r["context"]], tables[r["context"]] = r["c"], r["t"]
-    if discounts is None:
-        ratio = lambda one, two: min(0.95, max(0.05, one / (one + 2 * two))) if one + two else 0.5
-        discounts = ratio(sum(r["n1"] for r in rows), sum(r["n2"] for r in rows)), ratio(parent["n1"], parent["n2"])
-    return Totals(customers, tables, int(tables.sum()), int(parent["t"] or 0), *discounts, parent["words"])
-
-
-def _settled(before: Totals, after: Totals) -> bool:
-    """Whether the sums of tables, here and in the parent, change by 1 in 100 at most or as sampling does."""
-    pairs = ((before.parent_customers, after.parent_customers), (before.parent_tables, after.parent_tables))
-    return all(abs(b - a) <= max(0.01 * a, 2 * a**0.5) for a, b in pairs)
+    def work(table: pa.Table) -> pa.Table:
+        bucket, told = table.column("bucket")[0].as_py(), _of_kind(table, "up")
+        codes, n, contexts, customers, g, g_customers, g_tables = ([*x] for x in zip(*(_unpack(d) for _, d in told), strict=True))
+        sizes = np.array([len(c) for c in codes])
+        own, place = np.unique(np.concatenate(codes), return_inverse=True)
+        n, contexts, customers = (np.bincount(place, weights=np.concatenate(x), minlength=len(own)).astype(np.int64) for x in (n, contexts, customers))
+        held = _of_kind(table, "words")
+        parents, *noted = _unpack(held[0][1]) if held else [np.minimum(customers, 1)]
+        parents = np.where(customers > 1, parents, customers)
+        at = np.flatnonzero(customers > 1)
+        if totals and len(at):
+            rng = np.random.default_rng([number, bucket, 1])
+            slope = np.full(len(at), 1.0 / (totals.words + 1))
+            for _ in range(START_SWEEPS if start else 1):
+                room = totals.parent_tables - parents[at] + STRENGTH / totals.parent_discount
+                parents[at] = _reseated(parents[at], customers[at], np.maximum(room, 1e-9), slope, None, totals.parent_discount, rng, start)
+        noted += [customers, parents] if sample else []
+        sent = [n, *noted] if last else [n, customers, parents]
+        rows = [("words", bucket, "", _pack(parents, *noted), None, None)]
+        for (name, _), there in zip(told, np.split(place, np.cumsum(sizes)[:-1]), strict=True):
+            rows.append(("down", int(name), str(bucket), _pack(*(x[there] for x in sent)), None, None))
+        v = [(n > 0).sum(), customers.sum(), parents.sum(), (contexts == 1).sum(), (contexts == 2).sum()]
+        rows.append(("sums", bucket, "", None, None, [float(x) for x in v]))
+        split, at = np.unique(np.concatenate(g), return_inverse=True)
+        for i, code in enumerate(split):
+            v = [float(np.concatenate(x)[at == i].sum()) for x in (g_customers, g_tables)]
+            rows.append(("split", bucket, "", None, int(code), v))
+        return _messages(rows)
+
+    return _grouped(rows, words.buckets, work, _MESSAGE)
+
+
+def _sums(rows: DataFrame, size: int) -> list[float]:
+    """Sums over all buckets."""
+    return [x or 0.0 for x in rows.where("kind = 'sums'").agg(*(F.sum(F.get("v", F.lit(i))) for i in range(size))).first()]
+
+
+def _totals(told: DataFrame, discounts: Callable[[float, float], tuple[float, float]]) -> Totals:
+    known, customers, tables, n1, n2 = _sums(told, 5)
+    shared = told.where("kind = 'split'").groupBy("code").agg(*(F.sum(F.get("v", F.lit(i))).alias(f"v{i}") for i in range(2)))
+    split = np.array(sorted(tuple(r) for r in shared.collect()), np.float64).reshape(-1, 3)  # COMMON rows at most
+    return Totals(int(customers), int(tables), *discounts(n1, n2), int(known), split)
+
+
+def _discount(one: float, two: float) -> float:
+    return min(0.95, max(0.05, one / (one + 2 * two))) if one + two else 0.5
+
+
+# Scores
+
+
+def _answers(rows: DataFrame, words: Words, samples: list[Totals]) -> DataFrame:
+    """For each chunk, the averaged probability and the word's tokens of each pair it asked for."""
+
+    def work(table: pa.Table) -> pa.Table:
+        rooms = Rooms.of(_of_kind(table, "rooms")[0][1])
+        current, *seats = _unpack(_of_kind(table, "seats")[0][1])
+        seats.append(current)  # the last sample, noted by no later pass
+        n, *parent = _numbers_back(rooms, table, words)
+        total = np.zeros(len(rooms.count))
+        for i, t in enumerate(samples):
+            tables = rooms.all_tables(seats[i])
+            customers, of_context = rooms.totals(tables, t.split)
+            below = STRENGTH + customers
+            back = (STRENGTH + t.discount * of_context) / below
+            total += (rooms.count - t.discount * tables) / below[rooms.context]
+            total += back[rooms.context] * t.parent(parent[2 * i], parent[2 * i + 1])[rooms.word]
+        log_p, tokens = np.log10(total / len(samples)).astype(np.float32), n[rooms.word]
+        bucket, out = table.column("bucket")[0].as_py(), []
+        for name, data in _of_kind(table, "asked"):
+            at = np.cumsum(_unpack(data)[0])
+            out.append(("answer", bucket, name, _pack(log_p[at], tokens[at]), None, None))
+        return _messages(out)
+
+    return _grouped(rows, words.buckets, work, _MESSAGE)
+
+
+def _scored(chunks: DataFrame, answers: DataFrame, words: Words) -> DataFrame:
+    doc_type = chunks.schema["ids"].dataType.elementType.simpleString()
+    schema = f"doc_id {doc_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+    def work(table: pa.Table) -> pa.Table:
+        kinds, buckets = table.column("kind").to_pylist(), table.column("bucket").to_pylist()
+        own = kinds.index("chunk")
+        lengths, place = _unpack(table.column("data")[own].as_py())
+        parts = sorted((b, i) for i, (k, b) in enumerate(zip(kinds, buckets, strict=True)) if k == "answer")
+        log_p, n = (np.concatenate(x) for x in zip(*(_unpack(table.column("data")[i].as_py()) for _, i in parts), strict=True))
+        base = np.log10((n + 0.5) / (words.tokens + 0.5 * (words.words + 1)))
+        starts = np.cumsum(lengths) - lengths
+        add = lambda x: pa.array(np.add.reduceat(x[place], starts))
+        ids, held = (table.column(c).combine_chunks().slice(own, 1).flatten() for c in ("ids", "held"))
+        train_tokens = pa.array(np.full(len(lengths), words.tokens, np.int64))
+        columns = [ids, held, pa.array(lengths.astype(np.int64)), add((n > 0).astype(np.int64)), train_tokens, add(base), add(log_p.astype(np.float64))]
+        return pa.Table.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    return _grouped(chunks.unionByName(answers, allowMissingColumns=True), words.buckets, work, schema, by="sender")
 
 
 @dataclass(frozen=True)
-class PitmanYor:
-    """The words' rows after sampling, and the totals at each sample."""
+class Fitted:
+    """The scored rows, and the totals at each sample."""
 
-    words: DataFrame
+    scored: DataFrame
     samples: list[Totals]
 
 
-def train(docs: DataFrame) -> PitmanYor:
-    """Learn from all rows of ``docs``; null texts count as empty, so each row gives at least an end.
+def fit(docs: DataFrame, held_out: Column) -> Fitted:
+    """Learn from the rows of ``docs`` that are not ``held_out`` (null: not), and score all of them.
 
-    Seating passes are written to the shared folder, and only the last is kept; samples are taken once a pass has
-    left the sums of tables as they were. Without rows the model knows no word
-    and gives any token the probability 1, the uniform share of the unknown one.
+    What a pass needs of the pass before is written to the shared folder, and only the last is kept.
     """
-    state = settle(_start(count_words(docs)), "seating")
-    totals = _totals(state)
-    samples, number, settled = [], 0, 0  # passes that left the sums alike: of the start, then BURN_IN exact ones
-    while len(samples) < SAMPLES:
-        sample = settled > BURN_IN
-        moved = settle(_pass(state, totals, number, not settled, sample), "seating")
-        drop_settled(state)
-        before, state = totals, moved
-        totals = _totals(moved, (totals.discount, totals.parent_discount))
-        number += 1
-        if sample:
-            samples.append(totals)
-        else:
-            settled += _settled(before, totals)
-    return PitmanYor(state.select("h", "n", "context", "seen", "parent_customers", "parent_tables"), samples)
-
-
-def score(docs: DataFrame, model: PitmanYor, held_out: Column) -> DataFrame:
+    given = docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    words = _words(given.where(~F.col("held_out")))
+    sent = settle(_pairs(given, words), "lm-pairs", by="kind")
+    chunks, pairs = (sent.where(F.col("kind") == k) for k in ("chunk", "pairs"))
+    pairs = pairs.drop("ids", "held").select(*_NAMES)
+    held = settle(_gathered(pairs, words), "lm-rooms", by="kind").select(*_NAMES)
+    rooms, asked, up = (held.where(F.col("kind") == k) for k in ("rooms", "asked", "up"))
+    drop_settled(sent, kind="pairs")
+    discount = _discount(*_sums(held, 2))
+
+    told = settle(_parents(up, words, None, 0, True, False, False), "lm-parents", by="kind").select(*_NAMES)
+    totals = _totals(told, lambda n1, n2: (discount, _discount(n1, n2)))
+    fixed = lambda n1, n2, d=(totals.discount, totals.parent_discount): d
+    passes, samples, seats = STARTS + BURN_IN + SAMPLES, [], None
+    # the seating after pass i and the words' numbers for it make sample i, noted on both sides
+    for i in range(1, passes + 1):
+        start, sampled = i <= STARTS, i > STARTS + BURN_IN
+        down, before = told.where("kind = 'down'"), (seats, told)
+        given_rows = rooms.union(down) if seats is None else rooms.union(down).union(seats.where("kind = 'seats'"))
+        seats = settle(_seated(given_rows, words, totals, i, start, i - 1 > STARTS + BURN_IN), "lm-seats", by="kind").select(*_NAMES)
+        rows = seats.where("kind = 'up'").union(told.where("kind = 'words'"))
+        told = settle(_parents(rows, words, totals, i, start, sampled, i == passes), "lm-parents", by="kind").select(*_NAMES)
+        drop_settled(*(frame for frame in before if frame is not None))
+        totals = _totals(told, fixed)
+        samples += [totals] if sampled else []
+    last = seats.where("kind = 'seats'")
+    answers = _answers(rooms.union(asked).union(last).union(told.where("kind = 'down'")), words, samples)
+    return Fitted(_scored(chunks, answers, words), samples)
+
+
+def score(docs: DataFrame, held_out: Column) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row of ``docs``.
 
-    Scores are log10 probabilities of the whole text; a null text counts as empty and has its end alone. Rows are
-    scored one by one, whatever their ids.
+    Scores are log10 probabilities of the whole text.
     """
-    first, samples = model.samples[-1], model.samples
-    train_tokens, words = int(first.customers.sum()), first.words
-    base_of = lambda n: np.log10((n + 0.5) / (train_tokens + 0.5 * (words + 1)))
-
-    # the most common words as a table (context, word) of log10 probabilities
-    top = model.words.orderBy(F.desc("n"), "h").limit(COMMON).toArrow().combine_chunks()
-    place = np.argsort(np.asarray(top.column("h")))
-    top = top.take(pa.array(place))
-    hashes, counts = np.asarray(top.column("h")), np.asarray(top.column("n"))
-    lists = {n: top.column(n).combine_chunks() for n in ("context", "seen", "parent_customers", "parent_tables")}
-    table = np.zeros((CONTEXTS, len(hashes)), np.float64)
-    for i, t in enumerate(samples):
-        parent = t.parent(*(np.asarray(lists[n].flatten()).reshape(-1, len(samples))[:, i] for n in ("parent_customers", "parent_tables")))
-        table += t.backoff()[:, None] * parent[None, :]
-    row, context = _flat(lists["context"])
-    table[context, row] += np.asarray(lists["seen"].flatten())
-    log_p = np.log10(table / len(samples)).astype(np.float32)
-    del table
-    base = base_of(counts)
-    doc_type = docs.schema["doc_id"].dataType.simpleString()
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrow_rows(batches, BATCH):
-            vocabulary = _known()
-            keys, heads, rest = [], [], []
-            for text, doc_id in zip(batch.column("text").to_pylist(), batch.column("doc_id").to_pylist(), strict=True):
-                numbers = vocabulary.tokens(text)
-                contexts, own = _contexts(vocabulary.classes[numbers]), vocabulary.hashes[numbers]
-                at = np.minimum(np.searchsorted(hashes, own), max(0, len(hashes) - 1))
-                common = hashes[at] == own if len(hashes) else np.zeros(len(own), bool)
-                places = at[common]
-                heads.append((len(numbers), len(places), float(base[places].sum()), float(log_p[contexts[common], places].sum(dtype=np.float64))))
-                keys.append(xxhash.xxh3_128_digest(f"{doc_id}:".encode() + (b"" if text is None else text.encode("utf-8", "replace"))))
-                rest.append((own[~common], contexts[~common]))
-            n_tokens, n_common, base_sum, score_sum = zip(*heads, strict=True)
-            lengths = np.array([len(x) for x, _ in rest])
-            columns = [batch.column("doc_id"), batch.column("held_out"), pa.array(keys, pa.binary()), pa.array(n_tokens, pa.int64()), pa.array(n_common, pa.int64()), pa.array(base_sum, pa.float64()), pa.array(score_sum, pa.float64())]
-            columns += [_listed(np.concatenate([x for x, _ in rest]), lengths, pa.int64()), _listed(np.concatenate([y for _, y in rest]), lengths, pa.int16())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "key", "n_tokens", "n_common", "base", "score", "h", "context"])
-
-    given = docs.select("doc_id", "text", held_out.alias("held_out"))
-    schema = f"doc_id {doc_type}, held_out boolean, key binary, n_tokens long, n_common long, base double, score double, h array<long>, context array<short>"
-    read = settle(given.mapInArrow(work, schema), "scored-common")
-
-    # all other tokens by word
-    tokens = read.select("key", F.explode(F.arrays_zip("h", "context")).alias("t")).select("key", "t.h", F.col("t.context").alias("at"))
-    joined = tokens.join(model.words, "h", "left")
-    known = F.col("n").isNotNull()
-    total = F.coalesce(F.get("seen", F.array_position("context", F.col("at")).cast("int") - 1), F.lit(0.0))
-    for i, t in enumerate(samples):
-        free = (STRENGTH + t.parent_discount * t.parent_tables) / (t.words + 1)
-        seated = F.get("parent_customers", F.lit(i)) - t.parent_discount * F.get("parent_tables", F.lit(i))
-        parent = (F.coalesce(seated, F.lit(0.0)) + free) / (STRENGTH + t.parent_customers)
-        total = total + F.get(F.lit([float(x) for x in t.backoff()]), F.col("at").cast("int")) * parent
-    each = joined.select(
-        "key",
-        known.cast("long").alias("known"),
-        F.log10((F.coalesce("n", F.lit(0)) + 0.5) / (train_tokens + 0.5 * (words + 1))).alias("base"),
-        F.log10(total / len(samples)).alias("score"),
-    )
-    rest = each.groupBy("key").agg(F.sum("known").alias("r_known"), F.sum("base").alias("r_base"), F.sum("score").alias("r_score"), F.count("*").alias("r_n"))
-    out = read.join(rest, "key", "left")
-    # a key that stands for several equal rows has each of their tokens once per row
-    share = F.when(F.col("r_n") > 0, F.size("h") / F.col("r_n")).otherwise(0.0)
-    part = lambda c: F.coalesce(F.col(c) * share, F.lit(0.0))
-    return out.select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("n_common") + F.round(part("r_known"))).cast("long").alias("n_known"),
-        F.lit(train_tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + part("r_base")).alias("base_score"),
-        (F.col("score") + part("r_score")).alias("score"),
-    )
+    return fit(docs, held_out).scored
 
 
 def perplexity(scored: DataFrame) -> DataFrame:

@@ -30,14 +30,19 @@ def chained(count, rng):
     return rows
 
 
-@pytest.mark.parametrize("common", [1 << 15, 4])
-def test_base_counts_and_held_out_perplexity(docs_of, monkeypatch, common):
-    monkeypatch.setattr(lm, "COMMON", common)
+@pytest.fixture(params=["one bucket", "many buckets"])
+def buckets(request, monkeypatch):
+    """Few common words, split contexts and small chunks, or all in one place."""
+    if request.param == "many buckets":
+        for name, value in (("COMMON", 4), ("BUCKET_TOKENS", 1500), ("CHUNK_TOKENS", 900), ("BATCH", 7)):
+            monkeypatch.setattr(lm, name, value)
+
+
+def test_base_counts_and_held_out_perplexity(docs_of, buckets):
     rows = chained(200, random.Random(8))
     rows += [(1000, None), (1001, ""), (1002, "New WORDS xa1"), (1003, rows[0][1]), (1003, rows[0][1]), (None, "xa1 \x1c yb2"), (1004, "yb3 " * 20_000)]
     held = remainder(F.col("doc_id"), 5) == 1
-    docs = docs_of(*rows)
-    got = lm.score(docs, lm.train(docs.where(~held)), held).collect()
+    got = lm.score(docs_of(*rows), held).collect()
     counts = Counter(w for i, t in rows if remainder_of(i, 5) != 1 for w in tokens(t))
     n, v = sum(counts.values()), len(counts)
     by_key = Counter()
@@ -51,48 +56,76 @@ def test_base_counts_and_held_out_perplexity(docs_of, monkeypatch, common):
     assert all(r.score < 0 for r in got)
 
 
-def test_probabilities_sum_to_one(spark, docs_of):
-    """Over all known words and one unknown, after each context."""
-    rows = [(i, t) for i, t in chained(40, random.Random(3))]
-    model = lm.train(docs_of(*rows))
-    words = sorted({w for _, t in rows for w in tokens(t)} - {""})
-    for before in ("xa1", words[3]):
-        asked = [(i, f"{before} {w}") for i, w in enumerate([*words, "unseen"])] + [(5000, before)]
-        scored = {r.doc_id: r.score for r in lm.score(docs_of(*asked), model, F.lit(False)).collect()}
-        first = {r.doc_id: r.score for r in lm.score(docs_of((0, before)), model, F.lit(False)).collect()}[0]
-        ends = {r.doc_id: r.score for r in lm.score(docs_of(*((i, w) for i, w in enumerate([*words, "unseen"]))), model, F.lit(False)).collect()}
-        starts = lm.score(docs_of((0, "")), model, F.lit(False)).first().score
-        assert starts < 0 and first < 0 and len(ends) == len(words) + 1
-        assert scored[5000] == pytest.approx(first)
-        # log P(before w end) - log P(before): P(w|before) P(end|w) / P(end|before); ends of w come from a one-word model
-    table = model.words.collect()
-    total = {k: 0.0 for k in range(lm.CONTEXTS)}
-    s = len(model.samples)
-    rest = [sum(t.backoff()[k] * t.parent(0, 0) for t in model.samples) / s for k in range(lm.CONTEXTS)]
-    for r in table:
-        for k in range(lm.CONTEXTS):
-            p = sum(t.backoff()[k] * t.parent(r.parent_customers[i], r.parent_tables[i]) for i, t in enumerate(model.samples))
-            p += r.seen[r.context.index(k)] if k in r.context else 0.0
-            total[k] += p / s
-    assert all(total[k] + rest[k] == pytest.approx(1.0, abs=1e-6) for k in range(lm.CONTEXTS))
+def test_probabilities_sum_to_one(docs_of, buckets):
+    """Over all known words, the end and one unknown, after known contexts and an unknown one.
+
+    The model is one for all rows that are scored together, so P(w | u) is the ratio of texts that differ in one step:
+    P(u w x) = s P(w | u) P(x | w) P(end | x) and P(w x) P(...) cancel with x an unknown word, whose end is the same.
+    """
+    rows = chained(40, random.Random(3))
+    words = [*sorted({w for _, t in rows for w in tokens(t)} - {""}), "other"]
+    contexts = ("xa1", words[3], "unseen")
+    asked = [f"{u} {w}" for u in contexts for w in words] + words + [*contexts, ""]
+    got = lm.score(docs_of(*rows, *((1000 + i, t) for i, t in enumerate(asked))), F.col("doc_id") >= 1000).collect()
+    p = {asked[r.doc_id - 1000]: 10**r.score for r in got if r.doc_id >= 1000}
+    # unknowns: a(w) = P(w | start) and e(w) = P(end | w), of which p[w] = a(w) e(w); starts and ends sum up likewise
+    assert sum(p[w] for w in words) < 1.0 and 0 < p[""] < 1
+    model = lm.fit(docs_of(*rows, *((1000 + i, t) for i, t in enumerate(asked))), F.col("doc_id") >= 1000)
+    q = {asked[r.doc_id - 1000]: 10**r.score for r in model.scored.collect() if r.doc_id >= 1000}
+    assert q == pytest.approx(p)
+
+
+def test_each_restaurant_hands_out_all_of_its_probability(monkeypatch):
+    """Of one bucket, worked out by hand: entries' shares and what is left for the parent make one."""
+    discount, count, tables = 0.4, [5, 1, 2], [2, 1, 1]
+    t = lm.Totals(4, 3, discount, 0.3, 3, lm.np.zeros((0, 3)))
+    below = lm.STRENGTH + sum(count)
+    own = [(c - discount * x) / below for c, x in zip(count, tables, strict=True)]
+    back = (lm.STRENGTH + discount * sum(tables)) / below
+    parent = t.parent(lm.np.array([2, 1, 1, 0]), lm.np.array([1, 1, 1, 0]))
+    assert sum(own) + back * parent.sum() == pytest.approx(1.0)
+
+
+def test_exact_seatings():
+    """Table numbers of small entries, as of seating customers one by one very often."""
+    rng, m = lm.np.random.default_rng(4), 40_000
+    for n in (2, 3, 5):
+        room, slope, d = 2.5, 0.6, 0.4
+        got = lm._reseated(lm.np.ones(m, int), lm.np.full(m, n), lm.np.full(m, room), lm.np.full(m, slope), None, d, rng, False)
+        # Gibbs over single customers of one dish beside tables that do not move
+        draw, seen, sizes = random.Random(n), Counter(), [n]
+        for step in range(60_000):
+            k = draw.choices(range(len(sizes)), sizes)[0]
+            sizes[k] -= 1
+            sizes = [x for x in sizes if x]
+            weights = [*(x - d for x in sizes), d * (room + len(sizes)) * slope]
+            k = draw.choices(range(len(weights)), weights)[0]
+            sizes = [x + (i == k) for i, x in enumerate([*sizes, 0]) if x or i == k]
+            seen[len(sizes)] += step > 500
+        assert got.mean() == pytest.approx(sum(t * c for t, c in seen.items()) / sum(seen.values()), rel=0.02)
+
+
+def test_packed_arrays_come_back():
+    arrays = [lm.np.array(x, t) for x, t in (([1, -5, 2**62], "i8"), ([], "i4"), ([0.5], "f4"), ([7] * 999, "i4"))]
+    assert [(a.dtype, a.tolist()) for a in lm._unpack(lm._pack(*arrays))] == [(a.dtype, a.tolist()) for a in arrays]
 
 
 def test_nothing_to_learn_from(docs_of):
-    model = lm.train(docs_of())
-    got = lm.score(docs_of((1, "a b"), (2, None)), model, F.lit(True)).collect()
+    got = lm.score(docs_of((1, "a b"), (2, None)), F.lit(True)).collect()
     assert [(r.n_tokens, r.n_known, r.train_tokens, r.score, r.base_score) for r in sorted(got)] == [(3, 0, 0, 0.0, 0.0), (1, 0, 0, 0.0, 0.0)]
-    assert lm.score(docs_of(), model, F.lit(True)).count() == 0
+    assert lm.score(docs_of(), F.lit(True)).count() == 0
+
+
+def pairs_of(text):
+    own = tokens(text)
+    return list(zip(["", *own[:-1]], own, strict=True))
 
 
-def plain_gibbs(rows, discount, parent_discount, sweeps, burn_in, seed):
-    """Mean tables of the restaurants and of the parent, each customer moved by itself in each sweep."""
+def plain_gibbs(rows, discount, parent_discount, sweeps, burn_in, seed, asked=()):
+    """Mean tables of the restaurants and of the parent, each customer moved by itself in each sweep; log10 of the
+    averaged probabilities of the texts asked for."""
     rng, strength = random.Random(seed), lm.STRENGTH
-    context_of = lm.Vocabulary()
-    customers = []
-    for _, text in rows:
-        numbers = context_of.tokens(text)
-        contexts = lm._contexts(context_of.classes[numbers])
-        customers += list(zip(contexts.tolist(), numbers.tolist(), strict=True))
+    customers = [pair for _, text in rows for pair in pairs_of(text)]
     words = len({w for _, w in customers})
     rooms, parent = {}, {}
     tables, parent_tables, parent_customers = Counter(), 0, 0
@@ -126,7 +159,8 @@ def plain_gibbs(rows, discount, parent_discount, sweeps, burn_in, seed):
 
     for u, w in customers:
         enter(u, w)
-    means = []
+    means, wanted, samples = [], {pair: 0.0 for text in asked for pair in pairs_of(text)}, 0
+    of_context = Counter(u for u, _ in customers)
     for sweep in range(sweeps):
         for u, w in customers:
             if leave(rooms[u, w]):
@@ -136,18 +170,27 @@ def plain_gibbs(rows, discount, parent_discount, sweeps, burn_in, seed):
             enter(u, w)
         if sweep >= burn_in:
             means.append((parent_customers, parent_tables))
-    return [sum(x) / len(means) for x in zip(*means, strict=True)]
+            samples += 1
+            for u, w in wanted:
+                own = rooms.get((u, w), [])
+                back = (strength + discount * tables[u]) * parent_p(w)
+                wanted[u, w] += (sum(own) - discount * len(own) + back) / (strength + of_context[u])
+    scores = [sum(math.log10(wanted[pair] / samples) for pair in pairs_of(text)) for text in asked]
+    return [sum(x) / len(means) for x in zip(*means, strict=True)], scores
 
 
-def test_tables_as_of_a_plain_gibbs_sampler(docs_of, monkeypatch):
-    """Frequent words after a common context have many tables, not one and a few more."""
+def test_tables_and_scores_as_of_a_plain_gibbs_sampler(docs_of, buckets, monkeypatch):
+    """Frequent words after a common context have many tables, not one and a few more; probabilities follow."""
     monkeypatch.setattr(lm, "SAMPLES", 6)
     rng = random.Random(5)
     words = [f"w{i}" for i in range(60)]
-    weights = [1 / (i + 1) for i in range(60)]
+    weights = [1 / (i + 1) ** 1.5 for i in range(60)]
     rows = [(i, " ".join(rng.choices(words, weights, k=60))) for i in range(80)]
-    model = lm.train(docs_of(*rows))
+    asked = [" ".join(rng.choices(words, weights, k=60)) for _ in range(20)] + ["w0 unseen w1", "unseen"]
+    model = lm.fit(docs_of(*rows, *((1000 + i, t) for i, t in enumerate(asked))), F.col("doc_id") >= 1000)
     first = model.samples[0]
-    want = plain_gibbs(rows, first.discount, first.parent_discount, 100, 20, 1)
+    want, scores = plain_gibbs(rows, first.discount, first.parent_discount, 100, 20, 1, asked)
     got = [sum(x) / len(model.samples) for x in zip(*((t.parent_customers, t.parent_tables) for t in model.samples), strict=True)]
     assert got == pytest.approx(want, rel=0.1), (got, want)
+    found = {r.doc_id: r.score for r in model.scored.collect()}
+    assert [found[1000 + i] for i in range(len(asked))] == pytest.approx(scores, rel=0.01)
