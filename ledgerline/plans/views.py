@@ -52,15 +52,22 @@ def register_published(published: Published) -> list[str]:
 
 
 def _latest_sql(root: str, table: str) -> str:
-    """The last arrived row per key of the batches that are there when it is read."""
+    """The last arrived row per key of the batches that are there when it is read, merged ones and others."""
     schema, key = STREAM_TABLES[table]
     rest = [c for c in schema.names if c not in key and c != "loaded_at"]
     picked = ", ".join(c if c in key else f"row.{c} AS {c}" for c in schema.names)
     types = ", ".join(f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields)
+    manifests = f"parquet.`{root}/merges/{table}`"
+    merges = f"(SELECT run, batch_id FROM {manifests} WHERE number = (SELECT max(number) FROM {manifests}))"
     return f"""
         SELECT {picked} FROM (
             SELECT {", ".join(key)}, max(struct(loaded_at, {", ".join(rest)})) AS row
-            FROM (SELECT {types}, CAST(batch_id AS STRING) AS batch_id FROM parquet.`{root}/{table}`) b
+            FROM (
+                SELECT {types}, CAST(batch_id AS STRING) AS batch_id FROM parquet.`{root}/{table}` l
+                LEFT ANTI JOIN {merges} m ON CAST(l.batch_id AS STRING) = m.batch_id
+                UNION ALL
+                SELECT {types}, batch_id FROM parquet.`{root}/merged/{table}` r LEFT SEMI JOIN {merges} m ON r.run = m.run
+            ) b
             LEFT ANTI JOIN parquet.`{root}/cleared/{table}/*` c ON b.batch_id = c.batch_id
             WHERE {{window}} GROUP BY {", ".join(key)})"""
 

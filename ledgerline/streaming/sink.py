@@ -7,6 +7,9 @@ skip older files by their arrival-time statistics.
 
 A clear first only notes batches as cleared, which hides them from readers; their
 files go with the next clear, so that a reader that has begun can end.
+
+Small batches are merged by ``merge_batches`` (see ``merges``); a row keeps the batch it came in, so a clear
+hides the same rows before and after.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ledgerline.operators.latest import latest_per_key
 from ledgerline.plans.rolling import recent
 from ledgerline.sources.schemas import STREAM_TABLES
+from ledgerline.streaming import merges
 from ledgerline.streaming.feeds import FEEDS, observed, parse_messages
 
 # The flush interval of the stream sink.
@@ -55,6 +59,7 @@ def prepare(spark: SparkSession, root: str) -> None:
             where = spark._jvm.org.apache.hadoop.fs.Path(path)
             if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
                 spark.createDataFrame([], kind).coalesce(1).write.mode("overwrite").parquet(path)
+    merges.prepare(spark, root)
 
 
 def start_feeds(
@@ -78,13 +83,24 @@ def start_feeds(
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Every stored row of a stream table that is not cleared; empty when nothing was written yet."""
-    schema, _ = STREAM_TABLES[table]
-    stored = StructType([*schema.fields]).add("batch_id", StringType())
-    if not _folder(spark, f"{root}/{table}")[1]:
-        return spark.createDataFrame([], stored)
-    rows = spark.read.schema(stored).parquet(f"{root}/{table}")
+    stored = merges.stored_schema(table)
+    # the manifest first: a merge that ends in between then shows neither its run nor its absence of batches
+    merged = merges.current(spark, root, table)
+    runs = merges.read_runs(spark, root, table, merged)
     gone = _cleared(spark, root, table)
-    return rows.where(~F.col("batch_id").isin(gone)) if gone else rows
+    rows = spark.createDataFrame([], stored)
+    if _folder(spark, f"{root}/{table}")[1]:
+        rows = spark.read.schema(stored).parquet(f"{root}/{table}")
+        hidden = sorted({*gone, *merged.all_batches()})
+        rows = rows.where(~F.col("batch_id").isin(hidden)) if hidden else rows
+    if runs is not None:
+        rows = rows.unionByName(runs.where(~F.col("batch_id").isin(gone)) if gone else runs)
+    return rows
+
+
+def merge_batches(spark: SparkSession, root: str) -> int:
+    """Merge the small batches of all stream tables; how many batches left their folders."""
+    return sum(merges.merge_table(spark, root, t, frozenset(_cleared(spark, root, t)), ROWS_PER_FILE) for t in STREAM_TABLES)
 
 
 def latest(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -118,7 +134,7 @@ def _folder(spark: SparkSession, path: str):
 
 
 def _cleared(spark: SparkSession, root: str, table: str) -> list[str]:
-    """Batches noted as cleared whose files are still there: those of one clear."""
+    """Batches noted as cleared that files still hold: those of one clear, and some of merged runs."""
     path = f"{root}/cleared/{table}"
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
@@ -129,8 +145,8 @@ def _cleared(spark: SparkSession, root: str, table: str) -> list[str]:
 
 def live_batches(spark: SparkSession, root: str, table: str) -> list[str]:
     gone = set(_cleared(spark, root, table))
-    names = [p.getName().split("=", 1)[1] for p in _folder(spark, f"{root}/{table}")[1]]
-    return sorted(n for n in names if n not in gone)
+    names = {p.getName().split("=", 1)[1] for p in _folder(spark, f"{root}/{table}")[1]}
+    return sorted((names | merges.current(spark, root, table).all_batches()) - gone)
 
 
 def high_water(spark: SparkSession, root: str) -> frozenset[str] | int:
@@ -154,8 +170,10 @@ def clear_tables(spark: SparkSession, root: str, through: frozenset[str] | int |
         notes = jvm.org.apache.hadoop.fs.Path(f"{root}/cleared/{table}")
         fs = notes.getFileSystem(conf)
         old = [s.getPath() for s in fs.listStatus(notes) if s.getPath().getName() != "none"]
-        if names:
-            note = spark.createDataFrame([(n,) for n in names], CLEARED).coalesce(1)
+        # a run that holds other batches too keeps the cleared ones until it is rewritten
+        kept = merges.drop_cleared(spark, root, table, frozenset(before)) if before else frozenset()
+        if names or kept:
+            note = spark.createDataFrame([(n,) for n in sorted({*names, *kept})], CLEARED).coalesce(1)
             note.write.parquet(f"{root}/cleared/{table}/{uuid.uuid4().hex}")
         for name in before:
             fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/{table}/batch_id={name}"), True)

@@ -735,6 +735,30 @@ def _restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.agg(F.count(F.lit(1)).alias("stored_rows"), F.countDistinct("transaction_id").alias("transactions"))
 
 
+def _compacted(name: str, read: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The stream run over the events in six batches, merged after three and after all of them."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
+        root = stream_root(spark)
+        events = projection.table(spark, sf_dir, "events")
+        for half in range(2):
+            events.where(F.col("event_id") % 2 == half).repartition(3).write.mode("append").parquet(f"{root}/events")
+            arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/events")
+            sink.start_feeds(
+                projection.to_messages(arriving), f"{root}/tables", f"{root}/checkpoint", "arrived_at", once=True
+            ).awaitTermination()
+            sink.merge_batches(spark, f"{root}/tables")
+        return plain(read(spark, f"{root}/tables"), COLUMNS[name])
+
+    return run
+
+
+def _merged_quality(spark: SparkSession, root: str) -> DataFrame:
+    register_stream(spark, root, AS_OF)
+    return spark.table("mart_rt_data_quality_last_60m")
+
+
 # Every accepted arrival is stored once, those of messages that came twice both times.
 _RESTARTED_SQL = """SELECT sum(CASE event_type WHEN 'purchase' THEN CASE WHEN k BETWEEN 10 AND 14 THEN 2 ELSE 1 END ELSE 1 END)::BIGINT AS stored_rows,
        count(*) AS transactions
@@ -907,6 +931,13 @@ def entries() -> dict[str, Entry]:
     found["touched_days_cohorts"] = _two_steps("mart_user_cohorts")
     found["spliced_exchange_rates"] = _two_steps("dim_exchange_rates", ["exchange_rates"])
     found["load_log_rows"] = Entry(_load_log, _LOAD_LOG_SQL)
+    found["compacted_rt_transactions"] = Entry(
+        _compacted("rt_transactions", lambda spark, root: sink.latest(spark, root, "rt_transactions")),
+        oracle.stream(plain_sql("rt_transactions", COLUMNS["rt_transactions"])),
+    )
+    found["compacted_rt_quality"] = Entry(
+        _compacted("mart_rt_data_quality_last_60m", _merged_quality), rolling_sql("mart_rt_data_quality_last_60m")
+    )
     found["stream_restarted"] = Entry(_restarted, _RESTARTED_SQL)
     found["rt_quality_as_of_now"] = Entry(_quality_now, oracle.stream(plain_sql(_QUALITY_NOW_SQL, _NOW_COLUMNS)))
     found["distinct_users_of_weeks"] = Entry(_distinct_users, _DISTINCT_USERS_SQL)
