@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerline.llm.common import arrow_rows, drop_settled, settle
 
 COMMON = 1 << 16
-STARTS, BURN_IN, SAMPLES = 2, 1, 5
+STARTS, BURN_IN, SAMPLES = 2, 3, 5
 START_SWEEPS = 2
 STRENGTH = 1.0
 SMALL = 12
