@@ -613,7 +613,8 @@ def fit(docs: DataFrame, held_out: Column) -> Fitted:
         totals = _totals(told, fixed)
         samples += [totals] if sampled else []
     last = seats.where("kind = 'seats'")
-    answers = _answers(rooms.union(asked).union(last).union(told.where("kind = 'down'")), words, samples)
+    answers = settle(_answers(rooms.union(asked).union(last).union(told.where("kind = 'down'")), words, samples), "lm-answers")
+    drop_settled(held, seats, told)
     return Fitted(_scored(chunks, answers, words), samples)
 
 
