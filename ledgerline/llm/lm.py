@@ -188,13 +188,17 @@ def _pairs(docs: DataFrame, words: Words) -> DataFrame:
         before[1:] = numbers[:-1]
         before[np.cumsum(lengths) - lengths] = known[b""]
         learnt = np.repeat(~np.asarray(pa.concat_arrays(flags).to_numpy(zero_copy_only=False), bool), lengths)
-        size = len(known)
+        size, codes = len(known), words.codes(known.hashes())
+        # words are renumbered by code, so that pairs come out sorted
+        by_code = np.argsort(codes)
+        moved = np.empty(size, np.int64)
+        moved[by_code] = np.arange(size)
+        numbers, before, codes = moved[numbers], moved[before], codes[by_code]
         pairs, place = np.unique(before * size + numbers, return_inverse=True)
         n = np.bincount(place[learnt], minlength=len(pairs))
-        codes = words.codes(known.hashes())
         g, h = codes[pairs // size], codes[pairs % size]
         bucket = words.bucket(g, h)
-        order = np.lexsort((h, g, bucket))
+        order = np.argsort(bucket, kind="stable")
         rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order), dtype=np.int32)
         name = uuid.uuid4().hex

