@@ -71,13 +71,16 @@ def fit(docs: DataFrame, grades: DataFrame, n_grades: int, sample_docs: int = SA
     """Fit on the documents that ``grades(doc_id, grade)`` rates, 0 to ``n_grades - 1``.
 
     At most ``sample_docs`` rated documents are used, chosen by the hash of their ids; only their hashed features
-    meet in the one fitting task. Ids rated twice keep the lowest grade; null ids, grades or texts teach nothing.
-    With no usable row the weights are zero and the thresholds evenly spaced.
+    meet in the one fitting task. Ids rated twice keep the lowest grade; of the texts under one id that of the smallest
+    hash teaches, once, so repeated ids do not widen the task; null ids, grades or texts teach nothing. Words in fewer
+    than ``LEAST_DOCS`` of the documents used get no weight. With no usable row the weights are zero and the thresholds
+    evenly spaced.
     """
     rated = grades.where("doc_id IS NOT NULL AND grade IS NOT NULL").groupBy("doc_id").agg(F.min("grade").alias("grade"))
     picked = rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
     texts = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(picked), "doc_id")
-    featured = texts.select("grade", "text").mapInArrow(_features, "grade int, buckets array<int>, shapes array<double>")
+    one = texts.groupBy("doc_id", "grade").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"].alias("text"))
+    featured = one.select("grade", "text").mapInArrow(_features, "grade int, buckets array<int>, shapes array<double>")
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = [b for b in batches if b.num_rows]

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 from ledgerline.llm import quality
+from pyspark.sql import functions as F
 
 
 def frames(spark, count=900):
@@ -44,3 +45,13 @@ def test_the_sample_is_bounded_and_empty_input_works(spark):
     none = quality.fit(docs.limit(0), grades.limit(0), 3)
     assert not none.weights.any() and none.thresholds.tolist() == [-0.5, 0.5]
     assert quality.grade(docs.limit(0), none, 2, "doc_id").count() == 0
+
+
+def test_an_id_with_many_texts_teaches_by_one(spark):
+    docs, grades = frames(spark, 120)
+    others = spark.createDataFrame([(5, f"vile words number {i}", "k") for i in range(60)], docs.schema)
+    many = docs.union(others).union(others)
+    first = many.where("doc_id = 5").orderBy(F.xxhash64("text")).limit(1)
+    want = quality.fit(docs.where("doc_id <> 5").union(first), grades, 3)
+    got = quality.fit(many, grades, 3)
+    assert np.allclose(got.weights, want.weights, atol=1e-6) and np.allclose(got.thresholds, want.thresholds, atol=1e-6)
