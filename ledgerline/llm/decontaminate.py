@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ledgerline.llm.common import arrow_rows
 
@@ -137,10 +138,11 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     ``end`` counts characters of the normalised text. Items with a null id or without any character but blanks
     take no part, nor do null texts; documents are matched row by row, whatever their ids. Items of fewer than
-    ``CHARS_PER_EDIT`` characters must occur unaltered. The items travel in groups of bounded size, one pass over
+    ``CHARS_PER_EDIT`` characters must occur unaltered. Ids of both tables may be of any simple type and keep it. The items travel in groups of bounded size, one pass over
     the documents for each, so a benchmark of any size is matched whole.
     """
-    doc_type = docs.schema["doc_id"].dataType.simpleString()
+    doc_type, item_type = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType
+    item_arrow = to_arrow_type(item_type)
 
     def work(items: list[tuple[int, str]]):
         def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,13 +151,13 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 found = [(i, *x) for i, t in enumerate(batch.column("text").to_pylist()) for x in matcher.find(normal(t))]
                 if found:
                     row, item, distance, end = zip(*found, strict=True)
-                    columns = [batch.column("doc_id").take(pa.array(row)), pa.array(item, pa.int64()), pa.array(distance, pa.int32()), pa.array(end, pa.int64())]
+                    columns = [batch.column("doc_id").take(pa.array(row)), pa.array(item, item_arrow), pa.array(distance, pa.int32()), pa.array(end, pa.int64())]
                     yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "distance", "end"])
 
         return one
 
     given = docs.select("doc_id", "text").where("text IS NOT NULL")
-    passes = [given.mapInArrow(work(items), f"doc_id {doc_type}, item_id long, distance int, end long") for items in _groups(benchmark)]
+    passes = [given.mapInArrow(work(items), f"doc_id {doc_type}, item_id {item_type.simpleString()}, distance int, end long") for items in _groups(benchmark)]
     return functools.reduce(DataFrame.unionByName, passes)
 
 

@@ -75,3 +75,11 @@ def test_empty_tables(spark, docs_of):
     bench = spark.createDataFrame([], "item_id bigint, text string")
     assert de.matches(docs_of((1, "a")), bench).count() == 0 and de.clean(docs_of((1, "a")), bench).count() == 1
     assert de.matches(docs_of(), spark.createDataFrame([(1, "a b")], bench.schema)).count() == 0
+
+
+def test_text_ids_of_items_and_documents(spark):
+    bench = spark.createDataFrame([("a", "one two three"), ("b", "four five"), (None, "one")], "item_id string, text string")
+    docs = spark.createDataFrame([("x", "say ONE  two three"), ("y", "four"), (None, "four five"), ("z", None)], "doc_id string, text string")
+    found = de.matches(docs, bench)
+    assert sorted(((r.doc_id, r.item_id, r.distance) for r in found.collect()), key=str) == [("x", "a", 0), (None, "b", 0)]
+    assert sorted(r.doc_id for r in de.clean(docs, bench).collect()) == ["y", "z"]
