@@ -137,7 +137,7 @@ ORACLE_SQL: dict[str, str] = {
         ), scored AS (
           SELECT q.vec_id AS query_id, c.vec_id,
                  CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
-          FROM good q JOIN good c ON q.vec_id <> c.vec_id
+          FROM (SELECT vec_id, min(v) AS v FROM good GROUP BY vec_id) q JOIN good c ON q.vec_id <> c.vec_id
           WHERE q.vec_id % 100 = 0
         )
         SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,

@@ -100,15 +100,15 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
     """``(query_id, rank, vec_id, score)``: the k highest integer inner products for each query row.
 
     Candidates are all rows but those with the query's own id; ties go to the smaller id. Rows with a null id
-    or an unusable vector (see ``quantise``) take no part; repeated ids count as one query, whose best row is
-    reported, and as separate candidates. Vectors of unequal length count as padded with zeros. Scores must fit
+    or an unusable vector (see ``quantise``) take no part; rows that repeat an id are one query, by the least of their
+    vectors in order of components, and separate candidates of others. Vectors of unequal length count as padded with zeros. Scores must fit
     a long. An empty table gives an empty result.
     """
     good = vectors.select(
         F.col(id_col).cast("long").alias("id"), quantise(F.col(vector_col)).alias("vector"), is_query.alias("asked")
     ).where("id IS NOT NULL AND vector IS NOT NULL")
     index = _blocks(good, BLOCK_ROWS, "vector-blocks")
-    queries = _blocks(good.where("asked").dropDuplicates(["id"]), QUERY_ROWS, "query-blocks")
+    queries = _blocks(good.where("asked").groupBy("id").agg(F.min("vector").alias("vector")), QUERY_ROWS, "query-blocks")
     queries = queries.select(F.col("block").alias("q"), F.col("ids").alias("q_ids"), F.col("values").alias("q_values"), F.col("width").alias("q_width"))
 
     # block summaries in groups of bounded size, each met by each query block

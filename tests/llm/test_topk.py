@@ -42,3 +42,13 @@ def test_equals_brute_force(spark, monkeypatch, count):
     for r in sorted(got.collect(), key=lambda r: (r.query_id, r.rank)):
         found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
     assert found == {q: v for q, v in brute(rows, 10).items() if v}
+
+
+def test_rows_that_repeat_a_query_id_are_one_query_of_the_least_vector(spark):
+    rows = [(100, [0.5, 1.0]), (100, [0.5, -1.0]), (100, [0.5, 3.0]), (1, [1.0, 2.0]), (2, [2.0, -1.0]), (2, [4.0, 0.0])]
+    for _ in range(2):
+        got = topk.top_k(table(spark, rows).repartition(4), F.col("vec_id") % 100 == 0, 10)
+        found = sorted((r["rank"], r.vec_id, r.score) for r in got.collect())
+        one = 1024 * 1024
+        assert found == [(1, 2, 2 * one), (2, 2, 2 * one), (3, 1, one // 2 - 2 * one)]
+        rows.reverse()
