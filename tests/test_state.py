@@ -58,3 +58,14 @@ def test_a_time_to_live(spark, tmp_path):
     assert step(3_600_000, row("a", 1, 2)) == [2]
     with pytest.raises(ValueError):
         state.keep_feed(spark.readStream.schema("value string").text(source), "rt_transactions", checkpoint, once=True, ttl_ms=1)
+
+
+def test_rows_without_a_time_to_live_are_kept_without_python(spark, tmp_path):
+    source, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
+    spark.createDataFrame([row("a", 5, 1), row("a", 6, 2), row("b", 1, 3)], SCHEMA).write.parquet(source)
+    kept = state.latest_rows(spark.readStream.schema(SCHEMA).parquet(source), ["k"], "at")
+    with with_settings(spark, state._STORE):
+        query = kept.writeStream.outputMode("update").format("noop").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert [r.operatorName for r in spark.read.format("state-metadata").load(checkpoint).collect()] == ["stateStoreSave"]
+    assert sorted((r.k, r.v) for r in state.kept_rows(spark, checkpoint, spark.read.parquet(source).schema).collect()) == [("a", 2), ("b", 3)]
