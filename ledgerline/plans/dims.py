@@ -60,14 +60,28 @@ def promo_codes(staged: DataFrame, run_ts: datetime | None = None) -> DataFrame:
     return packed.select("promo_code_id", "_row.code", "_row.max_uses", "_row.expiry_date", *lineage(run_ts))
 
 
-def exchange_rates(staged: DataFrame, run_ts: datetime | None = None, firsts: DataFrame | None = None) -> DataFrame:
+def held_rates(staged: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
+    """The rates that hold, one per currency and time: the greatest (update_id, rate), until the next time.
+
+    ``staged`` may be whole days of the rates, when ``firsts`` has the first rate of each currency and day of all of them.
+    """
+    dated = staged.where("ts IS NOT NULL")
+    starts = dated.groupBy("currency", F.col("ts").alias("valid_from")).agg(F.max(F.struct("update_id", "rate")).alias("_winner"))
+    spans = next_start(starts, "currency", "valid_from", "valid_to", OPEN_END, firsts)
+    key = surrogate_key(F.col("currency"), F.col("valid_from")).alias("rate_key")
+    return spans.select(key, "_winner.update_id", "currency", "valid_from", "valid_to", "_winner.rate")
+
+
+def exchange_rates(
+    staged: DataFrame, run_ts: datetime | None = None, firsts: DataFrame | None = None, held: DataFrame | None = None
+) -> DataFrame:
     """Validity intervals per currency, the last one open.
 
     Of rates that start at the same time the greatest (update_id, rate) holds;
     the others, and further copies of it, get an empty interval. A rate whose
     time could not be read stays, without a key, a start or an end, so that the
-    checks on the table see it. ``staged`` may be whole days of the rates, when
-    ``firsts`` has the first rate of each currency and day of all of them.
+    checks on the table see it. ``staged`` may be whole days of the rates, as for
+    ``held_rates``; ``held`` is what that gives, where it is there already.
     """
     dated = staged.where("ts IS NOT NULL")
     lost = staged.where("ts IS NULL").select(
@@ -76,10 +90,9 @@ def exchange_rates(staged: DataFrame, run_ts: datetime | None = None, firsts: Da
     rated = dated.groupBy("currency", F.col("ts").alias("valid_from"), "update_id", "rate").agg(
         F.count(F.lit(1)).alias("_copies")
     )
-    entry = F.struct("update_id", "rate")
-    starts = dated.groupBy("currency", F.col("ts").alias("valid_from")).agg(F.max(entry).alias("_winner"))
-    spans = next_start(starts, "currency", "valid_from", "_next", OPEN_END, firsts)
-    holds = (F.col("_copy") == 1) & entry.eqNullSafe(F.col("_winner"))
+    held = held_rates(staged, firsts) if held is None else held
+    spans = held.select("currency", "valid_from", F.struct("update_id", "rate").alias("_winner"), F.col("valid_to").alias("_next"))
+    holds = (F.col("_copy") == 1) & F.struct("update_id", "rate").eqNullSafe(F.col("_winner"))
     spanned = (
         restore_copies(rated.join(spans, ["currency", "valid_from"]), "_copies", "_copy")
         .withColumn("valid_to", F.when(holds, F.col("_next")).otherwise(F.col("valid_from")))

@@ -91,14 +91,19 @@ class Warehouse:
     def dim_promo_codes(self) -> DataFrame:
         return dims.promo_codes(self.stg_promo_codes, self.run_ts)
 
+    @cached_property
+    def held_rates(self) -> DataFrame:
+        """What the fact reads of the rates: those whose interval is not empty by another rate of their time."""
+        return settle(dims.held_rates(self.stg_exchange_rates), "held-rates")
+
     @cached_property
     def dim_exchange_rates(self) -> DataFrame:
-        return self.keep(dims.exchange_rates(self.stg_exchange_rates, self.run_ts), "dim_exchange_rates")
+        return self.keep(dims.exchange_rates(self.stg_exchange_rates, self.run_ts, held=self.held_rates), "dim_exchange_rates")
 
     @cached_property
     def fact_transactions(self) -> DataFrame:
         return facts.transactions(
-            self.flagged, self.dim_users, self.dim_promo_codes, self.dim_exchange_rates, self.run_ts
+            self.flagged, self.dim_users, self.dim_promo_codes, self.held_rates, self.run_ts
         )
 
     @cached_property

@@ -119,6 +119,18 @@ def test_rate_intervals_and_ties(build, rows):
     assert base == [("TGRK", datetime(1970, 1, 1), end, 1.0)]
 
 
+def test_the_fact_reads_one_rate_per_currency_and_time(build, rows):
+    rates = [(5, str(DAY), 2.0, 20.0, "r", NOW), (7, str(DAY), 4.0, 40.0, "r", NOW), (7, str(DAY), 4.0, 40.0, "r", NOW), (8, "soon", 1.0, 1.0, "r", NOW)]
+    w = build([tx(1, at=DAY, currency="RUB")], rates=rates)
+    start, end = datetime(2024, 1, 1), datetime(2100, 1, 1)
+    assert [r for r in rows(w.held_rates, "currency", "update_id", "valid_from", "valid_to", "rate") if r[0] == "PUNK"] == [("PUNK", 7, start, end, 4.0)]
+    read = w.fact_transactions.inputFiles()
+    assert any("/held-rates-" in f for f in read) and not any("/dim_exchange_rates-" in f for f in read)
+    keyed = {r.rate_key for r in w.dim_exchange_rates.where("valid_from < valid_to AND currency = 'RUB'").collect()}
+    assert rows(w.fact_transactions, "exchange_rate", "rate_key") == [(40.0, *keyed)]
+    assert w.dim_exchange_rates.where("currency = 'RUB'").count() == 4
+
+
 def test_conversion_divides_by_the_latest_rate(build, rows):
     rates = [(5, str(DAY), 2.0, 20.0, "r", NOW), (6, str(DAY + 60), 0.0, 40.0, "r", NOW)]
     txs = [

@@ -49,3 +49,16 @@ def test_settled_tables_land_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert all(f.startswith(f"file://{shared}") for f in settled.inputFiles())
     assert session.fits_broadcast(settled, 5) and not session.fits_broadcast(settled, 4)
+
+
+def test_methods_too_large_to_be_compiled_are_not_made(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from ledgerline.functions.times import lenient_time
+
+    session.configure(spark)
+    texts = spark.createDataFrame([("2024 Jan 02 10:00",), ("soon",)], "t string")
+    parsed = texts.select(lenient_time(F.col("t")).alias("t")).where("to_date(t) IS NOT NULL")
+    plan = parsed.groupBy("t").count()
+    assert plan.collect()[0]["count"] == 1
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) == 8000
