@@ -131,6 +131,16 @@ def test_the_fact_reads_one_rate_per_currency_and_time(build, rows):
     assert w.dim_exchange_rates.where("currency = 'RUB'").count() == 4
 
 
+def test_checks_read_the_stored_fact(spark, monkeypatch):
+    from ledgerline.trial import catalog
+
+    seen = {}
+    monkeypatch.setattr(catalog, "run_checks", lambda tables: seen.update(tables))
+    catalog._column_checks(spark, "/root/testdata/sf0.001")
+    for name in ["fact_transactions", "fact_cancellation_matches"]:
+        assert all(f"/{name}-" in f for f in seen[name].inputFiles())
+
+
 def test_conversion_divides_by_the_latest_rate(build, rows):
     rates = [(5, str(DAY), 2.0, 20.0, "r", NOW), (6, str(DAY + 60), 0.0, 40.0, "r", NOW)]
     txs = [
