@@ -137,15 +137,11 @@ def _exact(amount: Column) -> Column:
 def _candidates(targets: DataFrame) -> DataFrame:
     """Per match key the number of transactions, and the only one where there is just one.
 
-    Counts and row hashes are plain longs, so they are aggregated by hash on both sides of the
-    shuffle; the rows themselves are only fetched for keys with a single candidate.
+    Of a single row the least value of each column is the row, so the rows are read once.
     """
-    row = F.xxhash64("transaction_nk")
-    counted = targets.groupBy(*MATCH_KEYS).agg(F.count(F.lit(1)).alias("_n"), F.min(row).alias("_row"))
-    only = targets.select(*MATCH_KEYS, row.alias("_row"), F.struct(*PICKED).alias("_pick"))
-    single = counted.where("_n = 1").join(only, [*MATCH_KEYS, "_row"]).select(*MATCH_KEYS, "_n", "_pick")
-    several = counted.where("_n > 1").select(*MATCH_KEYS, "_n", F.lit(None).cast(single.schema["_pick"].dataType).alias("_pick"))
-    return single.unionByName(several)
+    least = [F.min(c).alias(c) for c in PICKED]
+    counted = targets.groupBy(*MATCH_KEYS).agg(F.count(F.lit(1)).alias("_n"), *least)
+    return counted.select(*MATCH_KEYS, "_n", F.when(F.col("_n") == 1, F.struct(*PICKED)).alias("_pick"))
 
 
 def _on_days(fact: DataFrame, keys: DataFrame) -> DataFrame:

@@ -141,6 +141,16 @@ def test_checks_read_the_stored_fact(spark, monkeypatch):
         assert all(f"/{name}-" in f for f in seen[name].inputFiles())
 
 
+def test_candidates_are_counted_and_picked_in_one_pass(spark):
+    day, at = date(2024, 1, 1), datetime(2024, 1, 1, 5)
+    given = [(1, "5.0", day, "a", at, None, "RUB", 0), (2, "7.0", day, "c", at, 1.0, "RUB", 0), (2, "7.0", day, "b", at, 2.0, "PUNK", 1)]
+    names = "_id bigint, _amount string, _day date, transaction_nk string, created_at timestamp, amount_tgrk double, currency string, is_test_user int"
+    found = facts._candidates(spark.createDataFrame(given, names))
+    assert found._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 1
+    got = {r._id: (r._n, r._pick and tuple(r._pick)) for r in found.collect()}
+    assert got == {1: (1, ("a", at, None, "RUB", 0)), 2: (2, None)}
+
+
 def test_conversion_divides_by_the_latest_rate(build, rows):
     rates = [(5, str(DAY), 2.0, 20.0, "r", NOW), (6, str(DAY + 60), 0.0, 40.0, "r", NOW)]
     txs = [
