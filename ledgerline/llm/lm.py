@@ -54,21 +54,30 @@ _NAMES = ["kind", "bucket", "sender", "data", "code", "v"]
 # Packed arrays
 
 
+def _narrow(a: np.ndarray) -> np.ndarray:
+    """Integers in the smallest signed type that holds them."""
+    if a.dtype.kind != "i" or not len(a):
+        return a
+    low, high = int(a.min()), int(a.max())
+    return a.astype(next(t for t in (np.int8, np.int16, np.int32, np.int64) if low >= np.iinfo(t).min and high <= np.iinfo(t).max), copy=False)
+
+
 def _pack(*arrays: np.ndarray) -> bytes:
     """Arrays as one block; bytes of equal weight lie side by side, so that small numbers take little."""
-    head = json.dumps([(a.dtype.str, len(a)) for a in arrays]).encode()
-    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes() for a in arrays]
+    stored = [_narrow(a) for a in arrays]
+    head = json.dumps([(a.dtype.str, len(a), b.dtype.str) for a, b in zip(arrays, stored, strict=True)]).encode()
+    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes() for a in stored]
     return len(head).to_bytes(4, "little") + head + pa.Codec("zstd", 1).compress(b"".join(planes), asbytes=True)
 
 
 def _unpack(block: bytes) -> list[np.ndarray]:
     cut = 4 + int.from_bytes(block[:4], "little")
-    kinds = [(np.dtype(kind), n) for kind, n in json.loads(block[4:cut])]
-    raw = np.frombuffer(pa.Codec("zstd").decompress(block[cut:], sum(k.itemsize * n for k, n in kinds), asbytes=True), np.uint8)
+    kinds = [(np.dtype(kind), n, np.dtype(stored)) for kind, n, stored in json.loads(block[4:cut])]
+    raw = np.frombuffer(pa.Codec("zstd").decompress(block[cut:], sum(k.itemsize * n for _, n, k in kinds), asbytes=True), np.uint8)
     out, at = [], 0
-    for kind, n in kinds:
-        size = kind.itemsize * n
-        out.append(np.ascontiguousarray(raw[at : at + size].reshape(kind.itemsize, n).T).view(kind).reshape(n))
+    for kind, n, stored in kinds:
+        size = stored.itemsize * n
+        out.append(np.ascontiguousarray(raw[at : at + size].reshape(stored.itemsize, n).T).view(stored).reshape(n).astype(kind, copy=False))
         at += size
     return out
 
@@ -101,9 +110,9 @@ class Vocabulary(dict):
         self[word] = n = len(self)
         return n
 
-    def tokens(self, text: str | None) -> np.ndarray:
+    def tokens(self, text: bytes | None) -> np.ndarray:
         """The numbers of a text's words, A-Z lower-cased, and of the end, whose word is empty."""
-        words = text.encode("utf-8", "replace").lower().split() if text else []
+        words = text.lower().split() if text else []
         words.append(b"")
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
@@ -122,7 +131,7 @@ def count_words(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(known.hashes()), pa.array(n.astype(np.int64))], names=["h", "n"])
 
         for batch in arrow_rows(batches, BATCH):
-            for text in batch.column("text").to_pylist():
+            for text in batch.column("text").cast(pa.binary()).to_pylist():
                 held.append(known.tokens(text))
                 size += len(held[-1])
                 if size >= CHUNK_TOKENS:
@@ -198,7 +207,7 @@ def _pairs(docs: DataFrame, words: Words) -> DataFrame:
         n = np.bincount(place[learnt], minlength=len(pairs))
         g, h = codes[pairs // size], codes[pairs % size]
         bucket = words.bucket(g, h)
-        order = np.argsort(bucket, kind="stable")
+        order = np.argsort(bucket.astype(np.uint16) if words.buckets <= 1 << 16 else bucket, kind="stable")  # 16 bits are sorted by digits
         rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order), dtype=np.int32)
         name = uuid.uuid4().hex
@@ -218,7 +227,7 @@ def _pairs(docs: DataFrame, words: Words) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, held, ids, flags, size = Vocabulary({b"": 0}), [], [], [], 0
         for batch in arrow_rows(batches, BATCH):
-            for i, text in enumerate(batch.column("text").to_pylist()):
+            for i, text in enumerate(batch.column("text").cast(pa.binary()).to_pylist()):
                 held.append(known.tokens(text))
                 ids.append(batch.column("doc_id").slice(i, 1))
                 flags.append(batch.column("held_out").slice(i, 1))
@@ -296,15 +305,14 @@ def _like_strength(count: np.ndarray, room: np.ndarray, p: Callable[[np.ndarray]
     return np.maximum((low + high) / 2, -1.0 + 1e-6)
 
 
-def _log_seatings(discount: float) -> np.ndarray:
-    """[n, t]: log of the weight of all ways to seat n customers at t tables (generalised Stirling numbers)."""
+def _seatings(discount: float) -> np.ndarray:
+    """[n, t]: the weight of all ways to seat n customers at t tables (generalised Stirling numbers)."""
     ways = np.zeros((SMALL + 1, SMALL + 1))
     ways[1, 1] = 1.0
     for n in range(1, SMALL):
         for t in range(1, n + 2):
             ways[n + 1, t] = ways[n, t - 1] + (n - discount * t) * ways[n, t]
-    with np.errstate(divide="ignore"):
-        return np.log(ways)
+    return ways
 
 
 def _reseated(tables: np.ndarray, count: np.ndarray, room: np.ndarray, slope: np.ndarray, rest: np.ndarray | None, discount: float, rng: np.random.Generator, start: bool) -> np.ndarray:
@@ -315,16 +323,19 @@ def _reseated(tables: np.ndarray, count: np.ndarray, room: np.ndarray, slope: np
     the sums still move, what is proposed for large entries is taken as it is; so it is where the seating before is
     none of so many customers.
     """
-    out, ways = tables.astype(np.int64), _log_seatings(discount)
+    out, ways = tables.astype(np.int64), _seatings(discount)
     for n in range(2, SMALL + 1):
         at = np.flatnonzero(count == n)
         if len(at):
-            i = np.arange(n)
-            each = np.log(discount * (room[at, None] + i)) + np.log(slope[at, None])
-            each += 0 if rest is None else np.log(rest[at, None] + i)
-            weight = np.cumsum(each, axis=1) + ways[n, 1 : n + 1]
-            grown = np.cumsum(np.exp(weight - weight.max(axis=1, keepdims=True)), axis=1)
-            out[at] = 1 + (grown[:, :-1] < (rng.random(len(at)) * grown[:, -1])[:, None]).sum(axis=1)
+            # products of at most SMALL factors, none of which is far from 1 enough to leave the range of doubles
+            rooms, beside, weight, total, grown = discount * room[at], None if rest is None else rest[at], slope[at], 0.0, []
+            ways_in = np.ones(len(at))
+            for i in range(n):
+                ways_in = ways_in * weight * (rooms + discount * i) * (1.0 if beside is None else beside + i)
+                total = total + ways_in * ways[n, i + 1]
+                grown.append(total)
+            draw = rng.random(len(at)) * total
+            out[at] = 1 + sum((g < draw).astype(np.int64) for g in grown[:-1])
     at = np.flatnonzero(count > SMALL)
     if not len(at):
         return out
@@ -345,24 +356,34 @@ def _reseated(tables: np.ndarray, count: np.ndarray, room: np.ndarray, slope: np
 
 @dataclass
 class Rooms:
-    """The entries of a bucket: their context's and word's place, customers; words go by home, then code."""
+    """The entries of a bucket: their context's and word's place, customers; words go by home, then code.
+
+    Of the split contexts the places, codes and homes; of each home that is told of words or split contexts, where its words end.
+    """
 
-    contexts: np.ndarray
     context: np.ndarray
-    codes: np.ndarray
     word: np.ndarray
     count: np.ndarray
+    split: np.ndarray
+    split_codes: np.ndarray
+    split_homes: np.ndarray
+    homes: np.ndarray
+    ends: np.ndarray
 
     @staticmethod
     def of(block: bytes) -> Rooms:
-        contexts, steps, codes, word, count = _unpack(block)
-        return Rooms(contexts, np.cumsum(steps), codes, word.astype(np.int64), count.astype(np.int64))
+        steps, *rest = _unpack(block)
+        return Rooms(np.cumsum(steps), *rest)
 
     def packed(self) -> bytes:
-        return _pack(self.contexts, _steps(self.context), self.codes, self.word.astype(np.int32), self.count.astype(np.int32))
+        return _pack(_steps(self.context), self.word, self.count, self.split, self.split_codes, self.split_homes, self.homes, self.ends)
+
+    def per_context(self, numbers: np.ndarray) -> np.ndarray:
+        """Sums over the entries of each context, all of which have some."""
+        return np.bincount(self.context, weights=numbers)
 
-    def customers(self) -> np.ndarray:
-        return np.bincount(self.context, weights=self.count, minlength=len(self.contexts))
+    def per_word(self, numbers: np.ndarray) -> np.ndarray:
+        return np.bincount(self.word, weights=numbers).astype(np.int64)
 
     def all_tables(self, several: np.ndarray) -> np.ndarray:
         """The tables of each entry: one for a single customer, ``several`` for those of more."""
@@ -372,28 +393,23 @@ class Rooms:
 
     def totals(self, tables: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Customers and tables of each context, those of split ones being the sums over all buckets."""
-        customers, of_context = self.customers(), np.bincount(self.context, weights=tables, minlength=len(self.contexts))
+        customers, of_context = self.per_context(self.count), self.per_context(tables)
         if len(shared):
-            at = np.minimum(np.searchsorted(shared[:, 0], self.contexts), len(shared) - 1)
-            split = shared[at, 0] == self.contexts
-            customers[split], of_context[split] = shared[at[split], 1], shared[at[split], 2]
+            at = np.minimum(np.searchsorted(shared[:, 0], self.split_codes), len(shared) - 1)
+            known = shared[at, 0] == self.split_codes
+            customers[self.split[known]], of_context[self.split[known]] = shared[at[known], 1], shared[at[known], 2]
         return customers, of_context
 
-    def report(self, name: str, tables: np.ndarray, words: Words) -> list[tuple]:
-        """What the homes of words are told: tokens, contexts and tables of each word here, and totals of split contexts."""
-        size = len(self.codes)
-        sums = [np.bincount(self.word, weights=w, minlength=size).astype(np.int64) for w in (self.count, self.count > 0, tables)]
-        home = words.home(self.codes)
-        split = np.flatnonzero(words.parts_of(self.contexts) > 1)
-        at_home = words.home(self.contexts[split])
-        customers = self.customers().astype(np.int64)
-        of_context = np.bincount(self.context, weights=tables, minlength=len(self.contexts)).astype(np.int64)
-        rows = []
-        for to in np.union1d(home, at_home):
-            a, b = np.searchsorted(home, (to, to + 1))
-            own = split[at_home == to]
-            data = _pack(self.codes[a:b], *(s[a:b] for s in sums), self.contexts[own], customers[own], of_context[own])
-            rows.append(("up", int(to), name, data, None, None))
+    def report(self, name: str, tables: np.ndarray, *first: np.ndarray) -> list[tuple]:
+        """What the homes of words are told: tables of each word here, totals of split contexts; at ``first``, what stays as it is."""
+        sums = [self.per_word(tables), *first]
+        customers, of_context = (self.per_context(x)[self.split].astype(np.int64) for x in (self.count, tables))
+        rows, start = [], 0
+        for to, end in zip(self.homes.tolist(), self.ends.tolist(), strict=True):
+            own = np.flatnonzero(self.split_homes == to)
+            data = _pack(self.split_codes[own], customers[own], of_context[own], *(x[start:end] for x in sums))
+            rows.append(("up", to, name, data, None, None))
+            start = end
         return rows
 
 
@@ -426,7 +442,12 @@ def _gathered(pairs: DataFrame, words: Words) -> DataFrame:
         by_home = np.lexsort((codes, words.home(codes)))
         moved = np.empty(len(codes), np.int64)
         moved[by_home] = np.arange(len(codes))
-        rooms = Rooms(contexts, context, codes[by_home], moved[word], np.bincount(place, weights=n).astype(np.int64))
+        codes = codes[by_home]
+        split = np.flatnonzero(words.parts_of(contexts) > 1)
+        home, split_homes = words.home(codes), words.home(contexts[split])
+        homes = np.union1d(home, split_homes)
+        ends = np.searchsorted(home, homes, "right")
+        rooms = Rooms(context, moved[word], np.bincount(place, weights=n).astype(np.int64), split, contexts[split], split_homes, homes, ends)
         rows = [("rooms", bucket, "", rooms.packed(), None, None)]
         at = 0
         for name, data in asked:
@@ -435,12 +456,13 @@ def _gathered(pairs: DataFrame, words: Words) -> DataFrame:
             at += size
         ones = [float((rooms.count == i).sum()) for i in (1, 2)]
         rows.append(("sums", bucket, "", None, None, ones))
-        return _messages(rows + rooms.report(str(bucket), np.minimum(rooms.count, 1), words))
+        first = codes, rooms.per_word(rooms.count), rooms.per_word(rooms.count > 0)
+        return _messages(rows + rooms.report(str(bucket), np.minimum(rooms.count, 1), *first))
 
     return _grouped(pairs, words.buckets, work, _MESSAGE)
 
 
-def _numbers_back(rooms: Rooms, table: pa.Table, words: Words) -> list[np.ndarray]:
+def _numbers_back(table: pa.Table) -> list[np.ndarray]:
     """The arrays sent by the homes, which are in the order of the rooms' words."""
     return [np.concatenate(x) for x in zip(*(_unpack(d) for _, d in _of_kind(table, "down")), strict=True)]
 
@@ -455,21 +477,21 @@ def _seated(rows: DataFrame, words: Words, totals: Totals, number: int, start: b
         held = _of_kind(table, "seats")
         several, *noted = _unpack(held[0][1]) if held else [np.ones(len(at), np.int32)]
         noted += [several] if sample else []
-        _, customers, parents = _numbers_back(rooms, table, words)
+        customers, parents = _numbers_back(table)
         rng = np.random.default_rng([number, bucket])
         of_word, of_context = rooms.word[at], rooms.context[at]
         kept = 1.0 - totals.parent_discount * parents[of_word] / np.maximum(customers[of_word], 1)
         rest = customers[of_word] - several + totals.free() / kept
         slope = kept / (STRENGTH + totals.parent_customers)
         tables = rooms.all_tables(several)
-        here = np.bincount(rooms.context, weights=tables, minlength=len(rooms.contexts))
+        here = rooms.per_context(tables)
         elsewhere = rooms.totals(tables, totals.split)[1] - here
         for _ in range(START_SWEEPS if start else 1):
-            in_room = elsewhere + np.bincount(rooms.context, weights=tables, minlength=len(rooms.contexts))
+            in_room = elsewhere + rooms.per_context(tables)
             room = in_room[of_context] - tables[at] + STRENGTH / totals.discount
             tables[at] = _reseated(tables[at], rooms.count[at], room, slope, rest, totals.discount, rng, start)
         data = _pack(tables[at].astype(np.int32), *noted)
-        return _messages([("seats", bucket, "", data, None, None), *rooms.report(str(bucket), tables, words)])
+        return _messages([("seats", bucket, "", data, None, None), *rooms.report(str(bucket), tables)])
 
     return _grouped(rows, words.buckets, work, _MESSAGE)
 
@@ -477,15 +499,21 @@ def _seated(rows: DataFrame, words: Words, totals: Totals, number: int, start: b
 def _parents(rows: DataFrame, words: Words, totals: Totals | None, number: int, start: bool, sample: bool, last: bool) -> DataFrame:
     """A pass over the word restaurant: customers are added up, seated, and the numbers of each word sent back.
 
-    Without totals every word has one table. A ``sample`` is noted; the ``last`` pass sends all that were.
+    Without totals every word has one table; this first pass also notes the words that each bucket tells of, their tokens and
+    contexts, for the passes after it. A ``sample`` is noted; the ``last`` pass sends all that were.
     """
 
     def work(table: pa.Table) -> pa.Table:
         bucket, told = table.column("bucket")[0].as_py(), _of_kind(table, "up")
-        codes, n, contexts, customers, g, g_customers, g_tables = ([*x] for x in zip(*(_unpack(d) for _, d in told), strict=True))
-        sizes = np.array([len(c) for c in codes])
-        own, place = np.unique(np.concatenate(codes), return_inverse=True)
-        n, contexts, customers = (np.bincount(place, weights=np.concatenate(x), minlength=len(own)).astype(np.int64) for x in (n, contexts, customers))
+        g, g_customers, g_tables, customers, *first = ([*x] for x in zip(*(_unpack(d) for _, d in told), strict=True))
+        sizes = np.array([len(x) for x in customers])
+        if first:
+            own, place = np.unique(np.concatenate(first[0]), return_inverse=True)
+            n, contexts = (np.bincount(place, weights=np.concatenate(x), minlength=len(own)).astype(np.int64) for x in first[1:])
+        else:
+            steps, n, contexts = _unpack(_of_kind(table, "home")[0][1])
+            place = np.cumsum(steps)
+        customers = np.bincount(place, weights=np.concatenate(customers), minlength=len(n)).astype(np.int64)
         held = _of_kind(table, "words")
         parents, *noted = _unpack(held[0][1]) if held else [np.minimum(customers, 1)]
         parents = np.where(customers > 1, parents, customers)
@@ -497,8 +525,10 @@ def _parents(rows: DataFrame, words: Words, totals: Totals | None, number: int,
                 room = totals.parent_tables - parents[at] + STRENGTH / totals.parent_discount
                 parents[at] = _reseated(parents[at], customers[at], np.maximum(room, 1e-9), slope, None, totals.parent_discount, rng, start)
         noted += [customers, parents] if sample else []
-        sent = [n, *noted] if last else [n, customers, parents]
+        sent = [n, *noted] if last else [customers, parents]
         rows = [("words", bucket, "", _pack(parents, *noted), None, None)]
+        if first:
+            rows.append(("home", bucket, "", _pack(_steps(place), n, contexts), None, None))
         for (name, _), there in zip(told, np.split(place, np.cumsum(sizes)[:-1]), strict=True):
             rows.append(("down", int(name), str(bucket), _pack(*(x[there] for x in sent)), None, None))
         v = [(n > 0).sum(), customers.sum(), parents.sum(), (contexts == 1).sum(), (contexts == 2).sum()]
@@ -538,7 +568,7 @@ def _answers(rows: DataFrame, words: Words, samples: list[Totals]) -> DataFrame:
         rooms = Rooms.of(_of_kind(table, "rooms")[0][1])
         current, *seats = _unpack(_of_kind(table, "seats")[0][1])
         seats.append(current)  # the last sample, noted by no later pass
-        n, *parent = _numbers_back(rooms, table, words)
+        n, *parent = _numbers_back(table)
         total = np.zeros(len(rooms.count))
         for i, t in enumerate(samples):
             tables = rooms.all_tables(seats[i])
@@ -602,6 +632,8 @@ def fit(docs: DataFrame, held_out: Column) -> Fitted:
     discount = _discount(*_sums(held, 2))
 
     told = settle(_parents(up, words, None, 0, True, False, False), "lm-parents", by="kind").select(*_NAMES)
+    home = told.where("kind = 'home'")
+    drop_settled(held, kind="up")
     totals = _totals(told, lambda n1, n2: (discount, _discount(n1, n2)))
     fixed = lambda n1, n2, d=(totals.discount, totals.parent_discount): d
     passes, samples, seats = STARTS + BURN_IN + SAMPLES, [], None
@@ -611,14 +643,18 @@ def fit(docs: DataFrame, held_out: Column) -> Fitted:
         down, before = told.where("kind = 'down'"), (seats, told)
         given_rows = rooms.union(down) if seats is None else rooms.union(down).union(seats.where("kind = 'seats'"))
         seats = settle(_seated(given_rows, words, totals, i, start, i - 1 > STARTS + BURN_IN), "lm-seats", by="kind").select(*_NAMES)
-        rows = seats.where("kind = 'up'").union(told.where("kind = 'words'"))
+        rows = seats.where("kind = 'up'").union(told.where("kind = 'words'")).union(home)
         told = settle(_parents(rows, words, totals, i, start, sampled, i == passes), "lm-parents", by="kind").select(*_NAMES)
-        drop_settled(*(frame for frame in before if frame is not None))
+        if i == 1:  # its homes stay
+            drop_settled(before[1], kind="words")
+            drop_settled(before[1], kind="down")
+        else:
+            drop_settled(*before)
         totals = _totals(told, fixed)
         samples += [totals] if sampled else []
     last = seats.where("kind = 'seats'")
     answers = settle(_answers(rooms.union(asked).union(last).union(told.where("kind = 'down'")), words, samples), "lm-answers")
-    drop_settled(held, seats, told)
+    drop_settled(held, home, seats, told)
     return Fitted(_scored(chunks, answers, words), samples)
 
 

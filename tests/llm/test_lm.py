@@ -184,3 +184,20 @@ def test_tables_and_scores_as_of_a_plain_gibbs_sampler(docs_of, buckets, monkeyp
     assert got == pytest.approx(want, rel=0.1), (got, want)
     found = {r.doc_id: r.score for r in model.scored.collect()}
     assert [found[1000 + i] for i in range(len(asked))] == pytest.approx(scores, rel=0.01)
+
+
+def test_a_pass_sends_only_what_it_changes(docs_of, monkeypatch):
+    """Word codes, tokens and contexts go to the words' homes once; each pass after it tells of tables alone."""
+    rng, sent, grouped = random.Random(8), [], lm._grouped
+
+    def seen(rows, *more, **named):
+        told = rows.where("kind = 'up'").select("data").collect()
+        sent.append(sum(a.nbytes for r in told for a in lm._unpack(r.data)))
+        return grouped(rows, *more, **named)
+
+    monkeypatch.setattr(lm, "_grouped", seen)
+    monkeypatch.setattr(lm, "BUCKET_TOKENS", 1500)
+    lm.score(docs_of(*((i, " ".join(f"w{rng.randrange(300)}" for _ in range(50))) for i in range(80))), F.lit(False)).collect()
+    first, *later = [n for n in sent if n]
+    assert len(later) == lm.STARTS + lm.BURN_IN + lm.SAMPLES
+    assert all(0 < n <= first / 3 for n in later), (first, later)
