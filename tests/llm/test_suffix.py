@@ -90,3 +90,20 @@ def test_empty_table(docs_of):
     assert suffix.dedup(docs_of()).count() == 0
     got = suffix.dedup(docs_of((1, "x"))).first()
     assert (got.n_bytes, got.spans) == (1, [])
+
+
+def test_lists_and_spans_of_ids_over_many_batches(spark):
+    """An id's rows that reach over the ends of batches make one list, in order, and one row of maximal runs."""
+    rng = random.Random(9)
+    rows = [(i, j, rng.randrange(10**9)) for i in range(-20, 20) for j in range(rng.randrange(1, 9))]
+    spans = [(i, s := rng.randrange(60), s + rng.randrange(1, 9)) for i in range(30) for _ in range(rng.randrange(1, 12))]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        given = spark.createDataFrame(rng.sample(rows, len(rows)), "id long, j long, rank long")
+        lists = [(r.id, r.ranks) for r in suffix._lists(given, "rank", "ranks").collect()]
+        joined = [(r.id, [tuple(s) for s in r.spans]) for r in suffix._joined_spans(spark.createDataFrame(spans, "id long, start long, end long")).collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert sorted(lists) == [(i, [v for k, _, v in rows if k == i]) for i in range(-20, 20)]
+    assert sorted(joined) == [(i, suffix._merged([(a, b) for k, a, b in spans if k == i])) for i in range(30)]
