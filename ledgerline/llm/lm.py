@@ -114,7 +114,7 @@ class Vocabulary(dict):
         """The numbers of a text's words, A-Z lower-cased, and of the end, whose word is empty."""
         words = text.lower().split() if text else []
         words.append(b"")
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
 
     def hashes(self) -> np.ndarray:
         return np.fromiter(map(xxhash.xxh3_64_intdigest, self), np.uint64, len(self)).view(np.int64)
@@ -192,18 +192,26 @@ def _pairs(docs: DataFrame, words: Words) -> DataFrame:
     schema = f"{_MESSAGE}, ids array<{doc_type}>, held array<boolean>"
 
     def chunk(known: Vocabulary, held: list[np.ndarray], ids: list[pa.Array], flags: list[pa.Array]) -> pa.RecordBatch:
+        # what is not needed any more goes before the sort, which takes most memory
         numbers, lengths = np.concatenate(held), np.array([len(x) for x in held])
+        held.clear()
         before = np.empty_like(numbers)
         before[1:] = numbers[:-1]
         before[np.cumsum(lengths) - lengths] = known[b""]
         learnt = np.repeat(~np.asarray(pa.concat_arrays(flags).to_numpy(zero_copy_only=False), bool), lengths)
         size, codes = len(known), words.codes(known.hashes())
+        known.clear()
         # words are renumbered by code, so that pairs come out sorted
         by_code = np.argsort(codes)
-        moved = np.empty(size, np.int64)
-        moved[by_code] = np.arange(size)
-        numbers, before, codes = moved[numbers], moved[before], codes[by_code]
-        pairs, place = np.unique(before * size + numbers, return_inverse=True)
+        moved = np.empty(size, np.int32)
+        moved[by_code] = np.arange(size, dtype=np.int32)
+        tokens = moved[before].astype(np.int64)
+        tokens *= size
+        tokens += moved[numbers]
+        codes = codes[by_code]
+        del numbers, before, moved, by_code
+        pairs, place = np.unique(tokens, return_inverse=True)
+        del tokens
         n = np.bincount(place[learnt], minlength=len(pairs))
         g, h = codes[pairs // size], codes[pairs % size]
         bucket = words.bucket(g, h)
