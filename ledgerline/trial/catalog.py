@@ -40,6 +40,9 @@ from ledgerline.streaming import feeds, live, sink, state
 from ledgerline.trial import oracle, projection
 
 AS_OF = datetime(2024, 1, 15, 12, 0, 0)
+# Row groups of a file that a stream takes as one batch: as small as the least piece Spark cuts a file into, so that the batch
+# is read and parsed by as many tasks as there are cores, not by one.
+ARRIVING_ROW_GROUP = 4 * 1024 * 1024
 
 # Column kinds: s as is, t text of a time or date, i BIGINT, n whole number or NULL
 # (compared as DOUBLE, which has one form of NULL on either side), digits = rounded double.
@@ -744,7 +747,8 @@ def _compacted(name: str, read: Callable[[SparkSession, str], DataFrame]) -> Cal
         root = stream_root(spark)
         events = projection.table(spark, sf_dir, "events")
         for half in range(2):
-            events.where(F.col("event_id") % 2 == half).repartition(3).write.mode("append").parquet(f"{root}/events")
+            batches = events.where(F.col("event_id") % 2 == half).repartition(3).write.option("parquet.block.size", ARRIVING_ROW_GROUP)
+            batches.mode("append").parquet(f"{root}/events")
             arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/events")
             sink.start_feeds(
                 projection.to_messages(arriving), f"{root}/tables", f"{root}/checkpoint", "arrived_at", once=True

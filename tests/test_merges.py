@@ -6,10 +6,13 @@ import shutil
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.plans.views import register_stream
+from ledgerline.session import with_settings
 from ledgerline.sources.schemas import STREAM_TABLES
 from ledgerline.streaming import feeds, merges, sink
+from ledgerline.trial import catalog
 from test_streaming import WHEN, parsed, tx
 
 TABLE = "rt_transactions"
@@ -117,3 +120,28 @@ def test_many_batches_end_as_few_files(spark, feed):
 def test_tables_are_known(spark, feed):
     merges.prepare(spark, feed.root)
     assert all(merges.current(spark, feed.root, t).batches == {} for t in STREAM_TABLES)
+
+
+def test_a_batch_that_is_one_file_is_read_by_many_tasks(spark, tmp_path, monkeypatch, rows):
+    """Events of some 2 KB each, so that a few are a large file; both queries read what one run has stored."""
+    given, root = f"{tmp_path}/given", f"{tmp_path}/stream"
+    events = spark.range(16_000).select(
+        F.col("id").alias("event_id"),
+        F.expr("timestamp_seconds(1705312800 + id % 7200)").alias("ts"),
+        (F.col("id") % 50).alias("user_id"),
+        F.expr("element_at(array('purchase', 'view', 'click', 'error', 'signup'), cast(id % 5 + 1 as int))").alias("event_type"),
+        (F.col("id") % 90).cast("double").alias("value"),
+        F.expr("array_join(transform(sequence(1, 32), i -> sha2(concat(id, '-', i), 256)), '')").alias("pad"),
+    )
+    props = F.format_string('{"k": %d, "pad": "%s"}', F.col("event_id") % 100, "pad")
+    events.withColumn("props", props).drop("pad").write.parquet(f"{given}/events.parquet")
+    monkeypatch.setattr(catalog, "stream_root", lambda spark: root)
+    queries, quality = catalog.entries(), "mart_rt_data_quality_last_60m"
+    assert rows(queries["compacted_rt_transactions"].run(spark, given)) == rows(queries["rt_transactions"].run(spark, given))
+    merged = catalog.plain(catalog._merged_quality(spark, f"{root}/tables"), catalog.COLUMNS[quality])
+    assert rows(merged) == rows(queries[quality].run(spark, given))
+    files = spark.read.parquet(f"{root}/events").inputFiles()
+    assert len(files) == 6
+    with with_settings(spark, {"spark.sql.files.maxPartitionBytes": "4m"}):
+        for file in files:
+            assert spark.read.parquet(file).groupBy(F.spark_partition_id()).count().count() > 1
